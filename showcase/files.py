@@ -1 +1,190 @@
-ENTRIES = {}
+"""File datasets: written to a zone, read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import lakeweir as lw
+from showcase.common import table, workspace
+
+CONTAINER = "acme"
+
+
+def _zones(spark: SparkSession, label: str) -> dict[str, str]:
+    root = workspace(spark, label)
+    return {"raw": f"{root}/raw", "curated1": f"{root}/c1", "curated2": f"{root}/c2"}
+
+
+def _round_trip(df: DataFrame, zone: str, fmt: str, write: dict, read: dict) -> DataFrame:
+    """Write the frame twice over, so that reading has copies to drop."""
+    spark = df.sparkSession
+    zones = _zones(spark, f"{fmt}_roundtrip")
+    place = {"zone": zone, "container": CONTAINER, "folder": "in", "file": f"data.{fmt}"}
+    lw.write_dataset(df, zones, **place, fmt=fmt, mode="overwrite", **write)
+    lw.write_dataset(df, zones, **place, fmt=fmt, mode="append", **write)
+    return lw.read_dataset(spark, zones, **place, **read)
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types are inferred, then widened to the table's by alignment."""
+    customer = table(spark, sf_dir, "customer")
+    read = _round_trip(customer, "curated1", "csv", {"sep": ";"}, {"sep": ";"})
+    aligned, _ = lw.align_schema(read, customer.schema, cast="store")
+    return aligned
+
+
+CSV_ROUNDTRIP = "SELECT DISTINCT * FROM customer"
+
+
+def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks and quotes through raw CSV."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    exact = {
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    return _round_trip(
+        documents,
+        "raw",
+        "csv",
+        {"options": exact},
+        {"options": {**exact, "maxCharsPerColumn": "-1"}, "schema": documents.schema},
+    )
+
+
+CSV_MULTILINE_ROUNDTRIP = "SELECT DISTINCT doc_id, text, lang FROM documents"
+
+
+def csv_null_as_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.nullif("p_brand", F.lit("Brand#2")).alias("p_brand"),
+        F.nullif("p_size", F.lit(11)).alias("p_size"),
+    )
+    text = T.StructType([T.StructField(c, T.StringType()) for c in part.columns])
+    return _round_trip(part, "curated1", "csv", {}, {"schema": text})
+
+
+CSV_NULL_AS_ZERO = """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+       coalesce(nullif(p_brand, 'Brand#2'), '0') AS p_brand,
+       coalesce(CAST(nullif(p_size, 11) AS VARCHAR), '0') AS p_size FROM part"""
+
+
+def csv_plain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name without a known extension: no header, every column a string."""
+    zones = _zones(spark, "csv_plain")
+    place = {"zone": "raw", "container": CONTAINER, "file": "suppliers.dat"}
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    lw.write_dataset(supplier, zones, **place, fmt="csv", header=False)
+    return lw.read_dataset(spark, zones, **place)
+
+
+CSV_PLAIN_FALLBACK = """
+SELECT CAST(s_suppkey AS VARCHAR) AS _c0, s_name AS _c1, CAST(s_nationkey AS VARCHAR) AS _c2
+FROM supplier"""
+
+
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return _round_trip(orders, "raw", "json", {}, {"schema": orders.schema})
+
+
+JSON_ROUNDTRIP = "SELECT DISTINCT * FROM orders"
+
+
+def json_document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that span lines: each file holds one array of all its rows."""
+    supplier = table(spark, sf_dir, "supplier")
+    zones = _zones(spark, "json_documents")
+    place = {"zone": "curated1", "container": CONTAINER, "folder": "in.json"}
+    # One array per nation and slice of keys, so no array grows with the table.
+    pieces = supplier.groupBy("s_nationkey", F.expr("s_suppkey DIV 1000")).agg(
+        F.to_json(F.collect_list(F.struct(*supplier.columns)), {"pretty": "true"}).alias("value")
+    )
+    path = lw.dataset_path(zones, **place)
+    pieces.select("value", F.col("s_nationkey").alias("nation")).write.partitionBy(
+        "nation"
+    ).option("maxRecordsPerFile", 1).text(path)
+    return lw.read_dataset(spark, zones, **place, schema=supplier.schema, recursive=True)
+
+
+JSON_DOCUMENT_ROUNDTRIP = "SELECT DISTINCT * FROM supplier"
+
+
+def orc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(table(spark, sf_dir, "part"), "curated2", "orc", {}, {})
+
+
+ORC_ROUNDTRIP = "SELECT DISTINCT * FROM part"
+
+
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(table(spark, sf_dir, "lineitem"), "curated1", "parquet", {}, {})
+
+
+PARQUET_ROUNDTRIP = "SELECT DISTINCT * FROM lineitem"
+
+
+def partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(
+        "*", F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")
+    )
+    path = workspace(spark, "partitioned") + "/events.parquet"
+    lw.write_path(events, path, partition_by="month|day")
+    kept = lw.read_path(spark, path, schema=events.schema)
+    return kept.where((F.col("month") == 1) & F.col("day").between(10, 19))
+
+
+PARTITIONED_READ = """
+SELECT *, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events
+WHERE month(ts) = 1 AND day(ts) BETWEEN 10 AND 19"""
+
+
+def range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "range") + "/lineitem.parquet"
+    lw.write_path(lw.range_layout(table(spark, sf_dir, "lineitem"), "l_shipdate"), path)
+    first, last = F.lit("1996-03-01").cast("timestamp_ntz"), F.lit("1997-06-30").cast(
+        "timestamp_ntz"
+    )
+    return lw.read_path(spark, path).where(F.col("l_shipdate").between(first, last))
+
+
+RANGE_READ = """
+SELECT * FROM lineitem
+WHERE l_shipdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-06-30'"""
+
+
+def nested_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of month, day and part of the day, read from its root."""
+    events = table(spark, sf_dir, "events")
+    root = workspace(spark, "tree")
+    tree = events.select(
+        "*",
+        F.month("ts").alias("m"),
+        F.dayofmonth("ts").alias("d"),
+        F.expr("hour(ts) DIV 6").alias("h"),
+    )
+    lw.write_path(tree, f"{root}/processA", fmt="parquet", partition_by="m|d|h")
+    return lw.read_path(spark, root, "parquet", schema=events.schema, recursive=True)
+
+
+NESTED_DIR_SCAN = "SELECT * FROM events"
+
+
+ENTRIES = {
+    "csv_roundtrip": (csv_roundtrip, CSV_ROUNDTRIP),
+    "csv_multiline_roundtrip": (csv_multiline_roundtrip, CSV_MULTILINE_ROUNDTRIP),
+    "csv_null_as_zero": (csv_null_as_zero, CSV_NULL_AS_ZERO),
+    "csv_plain_fallback": (csv_plain_fallback, CSV_PLAIN_FALLBACK),
+    "json_roundtrip": (json_roundtrip, JSON_ROUNDTRIP),
+    "json_document_roundtrip": (json_document_roundtrip, JSON_DOCUMENT_ROUNDTRIP),
+    "orc_roundtrip": (orc_roundtrip, ORC_ROUNDTRIP),
+    "parquet_roundtrip": (parquet_roundtrip, PARQUET_ROUNDTRIP),
+    "partitioned_read": (partitioned_read, PARTITIONED_READ),
+    "range_read": (range_read, RANGE_READ),
+    "nested_dir_scan": (nested_dir_scan, NESTED_DIR_SCAN),
+}
