@@ -10,16 +10,20 @@ Shape of the plans
   greatest recency). Partial aggregation does that inside the map tasks, so a
   key with a third of the rows shrinks before it is shuffled, and duplicate
   keys cannot multiply a join.
-* The wide rows are always the left side of an anti or left outer join, where
-  adaptive execution may split an oversized partition. It can do so only when
-  both sides of the join arrive straight from their own exchange. The reduced
-  side would otherwise reuse the exchange of its aggregation, so the join also
-  compares a hash of the key: the small side is shuffled once more, and the
-  large side becomes splittable.
+* The rows themselves are always the left side of an anti, semi or left outer
+  join, where adaptive execution may split an oversized partition. It does so
+  only when both sides of the join arrive straight from their own exchange and
+  nothing above relies on the join's partitioning, which the aggregations
+  before and after the join would do. These joins therefore also compare a
+  hash of the key: it changes no match, but the small side is exchanged once
+  more and a hot key of the large side can be split over many tasks.
 * Nothing is hinted to broadcast. Spark broadcasts a reduced side when its
   size (estimated, or measured at run time) is below
   ``spark.sql.autoBroadcastJoinThreshold``, and then the target is not
   shuffled at all.
+* ``colocated=True`` leaves the hash out where whole target rows are joined: a
+  target bucketed by the keys is then not shuffled either. A bucket is read by
+  one task, so this is for keys without hot values.
 """
 
 from __future__ import annotations
@@ -43,13 +47,17 @@ def _keys_equal(keys: list[str]) -> Column:
 
 
 def _splittable(keys: list[str]) -> Column:
-    """Key equality that lets adaptive execution split a hot key (see module)."""
+    """Key equality in a form that lets a hot key be split (see module)."""
     return _keys_equal(keys) & (
-        F.xxhash64(*[quoted(k, "rows") for k in keys])
-        == F.xxhash64(*[quoted(k, "bounds") for k in keys])
+        F.hash(*[quoted(k, "rows") for k in keys])
+        == F.hash(*[quoted(k, "bounds") for k in keys])
     )
 
 
+def _target_match(keys: list[str], colocated: bool) -> Column:
+    return _keys_equal(keys) if colocated else _splittable(keys)
+
+
 def _all_present(columns: list[str]) -> Column:
     condition = quoted(columns[0]).isNotNull()
     for name in columns[1:]:
@@ -75,9 +83,9 @@ def _greatest_among(
 ) -> DataFrame:
     """As ``_greatest``, for the keys of ``batch`` only.
 
-    The semi-join sits above the aggregate on the same keys: Catalyst moves it
-    below when the batch keys fit a broadcast, and otherwise both sides share
-    one partitioning after the target has been reduced.
+    The semi-join sits above the reduction on the same keys: Catalyst moves it
+    below when the batch keys fit a broadcast, and otherwise the target is
+    reduced before it is shuffled.
     """
     return (
         _greatest(df, keys, recency)
@@ -98,7 +106,11 @@ def _check(target: DataFrame, batch: DataFrame, keys, recency) -> tuple[list[str
 
 
 def remove_superseded(
-    target: DataFrame, batch: DataFrame, keys: str | list[str], recency: str | None = None
+    target: DataFrame,
+    batch: DataFrame,
+    keys: str | list[str],
+    recency: str | None = None,
+    colocated: bool = False,
 ) -> DataFrame:
     """Target rows without those that a batch row of the same key replaces.
 
@@ -106,7 +118,7 @@ def remove_superseded(
     go to the batch); without it, any batch row of the key does.
     """
     keys, recency = _check(target, batch, keys, recency)
-    condition = _splittable(keys)
+    condition = _target_match(keys, colocated)
     if recency:
         bounds = _greatest(batch, keys, recency)
         condition = condition & (F.col(f"bounds.{_MOMENT}") >= quoted(recency, "rows"))
@@ -130,9 +142,11 @@ def append_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch)
 
 
-def replace_keys(target: DataFrame, batch: DataFrame, keys: str | list[str]) -> DataFrame:
+def replace_keys(
+    target: DataFrame, batch: DataFrame, keys: str | list[str], colocated: bool = False
+) -> DataFrame:
     """Batch rows, plus target rows whose key the batch does not mention."""
-    return append_rows(remove_superseded(target, batch, keys), batch)
+    return append_rows(remove_superseded(target, batch, keys, colocated=colocated), batch)
 
 
 def upsert(
@@ -141,15 +155,16 @@ def upsert(
     keys: str | list[str],
     recency: str | None = None,
     dedupe_batch: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
     """Newest-wins merge: delete superseded target rows, then insert the batch.
 
     A batch row is dropped when a target row that *survived the delete* is
-    newer. A key keeps surviving target rows with a moment only if they are
-    newer than all its batch rows, so per key either all dated batch rows go
-    in (duplicates included) or none do; the keys where the target leads are
-    therefore found from the two per-key maxima, without a second pass over
-    the surviving rows. Rows without a moment are kept on both sides.
+    newer. Of a key that the batch has dates for, those survivors are the
+    target rows newer than all its batch rows, so per key either all dated
+    batch rows go in (duplicates included) or none do. The keys where the
+    target leads are therefore found from the same per-key maxima as the
+    delete. Rows without a moment are kept on both sides.
 
     ``dedupe_batch=True`` first keeps only the newest batch row of each key.
     """
@@ -159,24 +174,20 @@ def upsert(
             raise ValueError("dedupe_batch needs a recency column")
         batch = latest_per_key(batch, keys, recency)
     if not recency:
-        return replace_keys(target, batch, keys)
+        return replace_keys(target, batch, keys, colocated)
 
-    leading = (
-        _greatest_among(target, keys, recency, batch)
-        .alias("rows")
-        .join(
-            _greatest(batch, keys, recency).alias("bounds"),
-            _keys_equal(keys) & (F.col(f"rows.{_MOMENT}") > F.col(f"bounds.{_MOMENT}")),
-            "left_semi",
-        )
-        .drop(_MOMENT)
+    newest = _greatest(batch, keys, recency)
+    ahead = target.select(*[quoted(c) for c in [*keys, recency]]).alias("rows").join(
+        newest.alias("bounds"),
+        _splittable(keys) & (quoted(recency, "rows") > F.col(f"bounds.{_MOMENT}")),
+        "left_semi",
     )
     incoming = batch.alias("rows").join(
-        leading.alias("bounds"),
+        _distinct_keys(ahead, keys).alias("bounds"),
         _splittable(keys) & quoted(recency, "rows").isNotNull(),
         "left_anti",
     )
-    return append_rows(remove_superseded(target, batch, keys, recency), incoming)
+    return append_rows(remove_superseded(target, batch, keys, recency, colocated), incoming)
 
 
 def _flag_matches(
@@ -209,6 +220,7 @@ def upsert_soft(
     keys: str | list[str],
     recency: str | None = None,
     flag: str = ACTIVE_FLAG,
+    colocated: bool = False,
 ) -> DataFrame:
     """History-keeping merge: superseded rows stay, with ``flag`` set to 0.
 
@@ -229,14 +241,15 @@ def upsert_soft(
 
     if not recency:
         flagged = _flag_matches(
-            target, _distinct_keys(batch, keys), _splittable(keys), target_flag
+            target, _distinct_keys(batch, keys), _target_match(keys, colocated), target_flag
         )
         return append_rows(flagged, batch)
 
     flagged = _flag_matches(
         target,
         _greatest(batch, keys, recency),
-        _splittable(keys) & (F.col(f"bounds.{_MOMENT}") >= quoted(recency, "rows")),
+        _target_match(keys, colocated)
+        & (F.col(f"bounds.{_MOMENT}") >= quoted(recency, "rows")),
         target_flag,
     )
     incoming = _flag_matches(

@@ -13,12 +13,17 @@ from pyspark.sql import types as T
 
 from lakeweir.functions.audit import AUDIT_COLUMNS, add_audit
 from lakeweir.functions.columns import blank_to_none, column_list, fresh_name, quoted, truthy
-from lakeweir.operators.align import REJECTED, align_with_report, casts_can_fail
+from lakeweir.operators.align import (
+    REJECTED,
+    REJECTED_TYPE,
+    align_with_report,
+    casts_can_fail,
+)
 from lakeweir.operators.dedupe import drop_duplicate_rows
 from lakeweir.operators.flatten import flatten
 from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
-from lakeweir.sources.files import read_dataset, write_dataset
+from lakeweir.sources.files import read_dataset, read_path, write_dataset
 from lakeweir.sources.history import record_load
 from lakeweir.sources.staging import stage
 from lakeweir.sources.tables import (
@@ -34,7 +39,10 @@ MERGES = ("newest", "soft")
 ON_REJECT = ("null", "quarantine", "error")
 
 # Formats whose writers the column-name clean-up is for.
-COLUMNAR = ("parquet", "delta")
+SPACELESS = ("parquet", "delta")
+
+# Formats that return every value as it was written.
+REREADABLE = ("parquet", "orc")
 
 
 @dataclass
@@ -136,15 +144,8 @@ def _alignment_target(spark: SparkSession, spec: BatchSpec) -> T.StructType | No
     )
 
 
-def _shaped(spark: SparkSession, spec: BatchSpec) -> tuple[DataFrame, Observation, Observation]:
-    """The batch as it will be stored, with row counts attached to its plan.
-
-    Counts are taken after the last shuffle. Spark adds up a count of an
-    earlier stage again when a lost executor makes that stage run twice; the
-    number of raw rows is therefore carried along by the de-duplication as a
-    count of copies instead of being counted at the scan.
-    """
-    raw = read_dataset(
+def _raw(spark: SparkSession, spec: BatchSpec) -> DataFrame:
+    return read_dataset(
         spark,
         spec.zones,
         RAW,
@@ -159,6 +160,20 @@ def _shaped(spark: SparkSession, spec: BatchSpec) -> tuple[DataFrame, Observatio
         dedupe=False,
         recursive=spec.recursive,
     )
+
+
+def _shaped(
+    spark: SparkSession, spec: BatchSpec, raw: DataFrame
+) -> tuple[DataFrame, bool, Observation, Observation]:
+    """The batch as it will be stored, with row counts attached to its plan.
+
+    Returns it with a report column, and whether that can hold anything.
+
+    Counts are taken after the last shuffle. Spark adds up a count of an
+    earlier stage again when a lost executor makes that stage run twice; the
+    number of raw rows is therefore carried along by the de-duplication as a
+    count of copies instead of being counted at the scan.
+    """
     copies = fresh_name(raw, "__copies")
     if spec.dedupe:
         df = drop_duplicate_rows(raw, copies=copies)
@@ -173,13 +188,14 @@ def _shaped(spark: SparkSession, spec: BatchSpec) -> tuple[DataFrame, Observatio
 
     if spec.flatten:
         df = flatten(df, explode_columns=spec.explode_columns)
-    if choose_format("", spec.curated_format) in COLUMNAR:
+    if choose_format("", spec.curated_format) in SPACELESS:
         df = strip_column_spaces(df)
     target = _alignment_target(spark, spec)
+    may_reject = target is not None and casts_can_fail(df, target)
     if target is not None:
         df = align_with_report(df, target, spec.on_extra)
     else:
-        df = df.withColumn(REJECTED, F.lit(None).cast("array<struct<column:string,value:string>>"))
+        df = df.withColumn(REJECTED, F.lit(None).cast(REJECTED_TYPE))
     df = df.observe(
         written_counts,
         F.count(F.lit(1)).alias("rows"),
@@ -187,7 +203,7 @@ def _shaped(spark: SparkSession, spec: BatchSpec) -> tuple[DataFrame, Observatio
     )
     source = dataset_path(spec.zones, RAW, spec.container, spec.folder, spec.file)
     audited = add_audit(df, spec.instance_id, source, spec.load_time, spec.tenant)
-    return audited, read_counts, written_counts
+    return audited, may_reject, read_counts, written_counts
 
 
 def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
@@ -215,62 +231,22 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
     return publish(merged, spec.table, spec.table_root, spec.batch_id, parts)
 
 
-def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
-    """Run one batch load.
-
-    The source is evaluated once, into a staged Parquet copy that the merge,
-    the insert and the lake write read from; row counts come with that write.
-    An empty batch touches neither the table nor the lake. Values that do not
-    fit the target are null in the stored row and counted (``on_reject="null"``),
-    moved with their row to ``reject_path`` (``"quarantine"``), or stop the
-    load before anything is changed (``"error"``).
-    """
-    spec.check()
-    shaped, read_counts, written_counts = _shaped(spark, spec)
-    batch = stage(shaped, f"batch-{spec.batch_id}")
-    counts, written = read_counts.get, written_counts.get
-    rejected = written["rejected"]
-    result = LoadResult(
-        batch_id=spec.batch_id,
-        operation="none",
-        raw_count=counts["raw"],
-        source_count=counts["source"],
-        transform_count=written["rows"],
-        reject_count=rejected,
+def _write_curated(spec: BatchSpec, batch: DataFrame) -> str:
+    return write_dataset(
+        batch,
+        spec.zones,
+        spec.curated_zone,
+        spec.curated_container or spec.container,
+        spec.curated_folder,
+        spec.curated_file,
+        fmt=spec.curated_format,
+        mode=spec.curated_mode,
+        sep=spec.curated_sep,
+        partition_by=spec.partition_by or (),
     )
-    if rejected and spec.on_reject == "error":
-        raise ValueError(f"{rejected} rows hold values that do not fit {spec.table}")
-    if rejected and spec.on_reject == "quarantine":
-        batch.where(F.col(REJECTED).isNotNull()).write.mode("overwrite").parquet(
-            f"{spec.reject_path.rstrip('/')}/batch_id={spec.batch_id}"
-        )
-        batch = batch.where(F.col(REJECTED).isNull())
-        result.transform_count -= rejected
-    batch = batch.drop(REJECTED)
-
-    if result.transform_count > 0:
-        if spec.merge is not None:
-            result.operation = f"upsert {spec.merge}"
-            result.rows_out = _merge(spark, spec, batch)
-        elif blank_to_none(spec.table):
-            result.operation = f"insert {spec.table_mode}"
-            insert_table(batch, spec.table, spec.table_mode)
-            result.rows_out = result.transform_count
-        if blank_to_none(spec.curated_folder) or blank_to_none(spec.curated_file):
-            write_dataset(
-                batch,
-                spec.zones,
-                spec.curated_zone,
-                spec.curated_container or spec.container,
-                spec.curated_folder,
-                spec.curated_file,
-                fmt=spec.curated_format,
-                mode=spec.curated_mode,
-                sep=spec.curated_sep,
-                partition_by=spec.partition_by or (),
-            )
-            if result.operation == "none":
-                result.operation = f"write {spec.curated_mode}"
+
+
+def _record(spark: SparkSession, spec: BatchSpec, result: LoadResult) -> LoadResult:
     if spec.history_root:
         record_load(
             spark,
@@ -285,3 +261,88 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
             rows_out=result.rows_out,
         )
     return result
+
+
+def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
+    """Run one batch load.
+
+    The source is evaluated once. Where the lake copy can be read back as it
+    was (``REREADABLE``, overwritten, unpartitioned), it is written first and
+    the merge or insert reads it; an insert without a lake copy goes straight
+    to the table; otherwise the batch is staged in Parquet. Row counts come
+    with that first write.
+
+    An empty batch touches neither the table nor the lake. Values that do not
+    fit the target are null in the stored row and counted (``on_reject="null"``),
+    moved with their row to ``reject_path`` (``"quarantine"``), or stop the
+    load before anything is changed (``"error"``).
+    """
+    spec.check()
+    raw = _raw(spark, spec)
+    result = LoadResult(spec.batch_id, "none", 0, 0, 0)
+    if raw.isEmpty():
+        return _record(spark, spec, result)
+
+    shaped, may_reject, read_counts, written_counts = _shaped(spark, spec, raw)
+    merges = spec.merge is not None
+    inserts = not merges and blank_to_none(spec.table) is not None
+    curates = bool(blank_to_none(spec.curated_folder) or blank_to_none(spec.curated_file))
+    unfiltered = spec.on_reject == "null" or not may_reject
+    # Gathering partitions is a shuffle, after which counts would be unsafe.
+    lake_first = (
+        unfiltered
+        and curates
+        and choose_format("", spec.curated_format) in REREADABLE
+        and spec.curated_mode == "overwrite"
+        and not column_list(spec.partition_by)
+    )
+    table_first = (
+        unfiltered
+        and inserts
+        and not curates
+        and spec.table_mode in ("append", "overwrite")
+        and not (
+            spark.catalog.tableExists(spec.table) and partition_columns(spark, spec.table)
+        )
+    )
+    if lake_first:
+        batch = shaped.drop(REJECTED)
+        path = _write_curated(spec, batch)
+        batch = read_path(spark, path, spec.curated_format, schema=batch.schema)
+    elif table_first:
+        insert_table(shaped.drop(REJECTED), spec.table, spec.table_mode)
+        batch = None
+    else:
+        batch = stage(shaped, f"batch-{spec.batch_id}")
+
+    counts, written = read_counts.get, written_counts.get
+    result.raw_count, result.source_count = counts["raw"], counts["source"]
+    result.transform_count, result.reject_count = written["rows"], written["rejected"]
+    if not unfiltered and result.reject_count:
+        if spec.on_reject == "error":
+            raise ValueError(
+                f"{result.reject_count} rows hold values that do not fit the target"
+            )
+        batch.where(F.col(REJECTED).isNotNull()).write.mode("overwrite").parquet(
+            f"{spec.reject_path.rstrip('/')}/batch_id={spec.batch_id}"
+        )
+        batch = batch.where(F.col(REJECTED).isNull())
+        result.transform_count -= result.reject_count
+        if not result.transform_count:
+            return _record(spark, spec, result)
+    if batch is not None and not lake_first:
+        batch = batch.drop(REJECTED)
+
+    if merges:
+        result.operation = f"upsert {spec.merge}"
+        result.rows_out = _merge(spark, spec, batch)
+    elif inserts:
+        result.operation = f"insert {spec.table_mode}"
+        result.rows_out = result.transform_count
+        if not table_first:
+            insert_table(batch, spec.table, spec.table_mode)
+    elif curates:
+        result.operation = f"write {spec.curated_mode}"
+    if curates and not lake_first:
+        _write_curated(spec, batch)
+    return _record(spark, spec, result)
