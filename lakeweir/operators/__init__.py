@@ -4,10 +4,12 @@ from lakeweir.operators.align import align_schema, align_with_report, casts_can_
 from lakeweir.operators.bounds import MAX_STRING_LENGTH, overlong_rows, string_bound_report
 from lakeweir.operators.dedupe import drop_duplicate_rows, latest_per_key
 from lakeweir.operators.flatten import flatten, parse_json_column
-from lakeweir.operators.layout import even_layout, hash_layout, range_layout
+from lakeweir.operators.layout import even_layout, hash_layout, preview, range_layout
 from lakeweir.operators.merge import (
     ACTIVE_FLAG,
     append_rows,
+    flag_outdated,
+    flag_superseded,
     remove_outdated,
     remove_superseded,
     replace_keys,
@@ -25,11 +27,14 @@ __all__ = [
     "casts_can_fail",
     "drop_duplicate_rows",
     "even_layout",
+    "flag_outdated",
+    "flag_superseded",
     "flatten",
     "hash_layout",
     "latest_per_key",
     "overlong_rows",
     "parse_json_column",
+    "preview",
     "range_layout",
     "remove_outdated",
     "remove_superseded",

@@ -22,6 +22,11 @@ from lakeweir.functions.columns import (
 )
 
 
+def preview(df: DataFrame, rows: int = 1) -> DataFrame:
+    """The first rows Spark comes across, to look at or to make an empty shell from."""
+    return df.limit(rows)
+
+
 def hash_layout(
     df: DataFrame, columns: str | list[str], partitions: int | None = None
 ) -> DataFrame:
@@ -40,7 +45,11 @@ def even_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def range_layout(
     df: DataFrame, columns: str | list[str], partitions: int | None = None
 ) -> DataFrame:
-    """Disjoint, sorted ranges of ``columns``, so file statistics can skip files."""
+    """Disjoint, sorted ranges of ``columns``, so file statistics can skip files.
+
+    Spark samples the frame for the range bounds, so its plan runs twice;
+    stage a frame that is costly to compute.
+    """
     columns = column_list(columns)
     require_columns(df, columns, "the frame")
     # The partition id of a map task does not change when the task is retried,

@@ -214,6 +214,41 @@ def _flag_name(df: DataFrame, flag: str) -> str:
     return next(c for c in df.columns if c.lower() == flag.lower())
 
 
+def flag_superseded(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: str | list[str],
+    recency: str | None = None,
+    flag: str = ACTIVE_FLAG,
+    colocated: bool = False,
+) -> DataFrame:
+    """All target rows, with ``flag`` 0 on those ``remove_superseded`` would drop."""
+    keys, recency = _check(target, batch, keys, recency)
+    require_columns(target, [flag], "the target")
+    condition = _target_match(keys, colocated)
+    if recency:
+        bounds = _greatest(batch, keys, recency)
+        condition = condition & (F.col(f"bounds.{_MOMENT}") >= quoted(recency, "rows"))
+    else:
+        bounds = _distinct_keys(batch, keys)
+    return _flag_matches(target, bounds, condition, _flag_name(target, flag))
+
+
+def flag_outdated(
+    batch: DataFrame,
+    target: DataFrame,
+    keys: str | list[str],
+    recency: str,
+    flag: str = ACTIVE_FLAG,
+) -> DataFrame:
+    """All batch rows, with ``flag`` 0 on those ``remove_outdated`` would drop."""
+    keys, recency = _check(target, batch, keys, recency)
+    require_columns(batch, [flag], "the batch")
+    bounds = _greatest_among(target, keys, recency, batch)
+    condition = _splittable(keys) & (F.col(f"bounds.{_MOMENT}") > quoted(recency, "rows"))
+    return _flag_matches(batch, bounds, condition, _flag_name(batch, flag))
+
+
 def upsert_soft(
     target: DataFrame,
     batch: DataFrame,
@@ -238,24 +273,7 @@ def upsert_soft(
         batch = batch.withColumn(target_flag, F.lit(1))
     batch_flag = _flag_name(batch, flag)
     batch = batch.withColumn(batch_flag, quoted(batch_flag).cast(flag_type))
-
-    if not recency:
-        flagged = _flag_matches(
-            target, _distinct_keys(batch, keys), _target_match(keys, colocated), target_flag
-        )
-        return append_rows(flagged, batch)
-
-    flagged = _flag_matches(
-        target,
-        _greatest(batch, keys, recency),
-        _target_match(keys, colocated)
-        & (F.col(f"bounds.{_MOMENT}") >= quoted(recency, "rows")),
-        target_flag,
-    )
-    incoming = _flag_matches(
-        batch,
-        _greatest_among(target, keys, recency, batch),
-        _splittable(keys) & (F.col(f"bounds.{_MOMENT}") > quoted(recency, "rows")),
-        batch_flag,
-    )
-    return append_rows(flagged, incoming)
+    flagged = flag_superseded(target, batch, keys, recency, target_flag, colocated)
+    if recency:
+        batch = flag_outdated(batch, target, keys, recency, batch_flag)
+    return append_rows(flagged, batch)

@@ -19,7 +19,7 @@ from lakeweir.operators.align import (
     align_with_report,
     casts_can_fail,
 )
-from lakeweir.operators.dedupe import drop_duplicate_rows
+from lakeweir.operators.dedupe import drop_duplicate_rows, latest_per_key
 from lakeweir.operators.flatten import flatten
 from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
@@ -102,6 +102,8 @@ class BatchSpec:
                 raise ValueError("a merge load needs key columns")
             if not self.table or not self.table_root:
                 raise ValueError("a merge load needs a table and a table_root")
+            if self.dedupe_batch and not blank_to_none(self.recency):
+                raise ValueError("dedupe_batch needs a recency column")
         elif column_list(self.keys):
             raise ValueError("key columns are set but no merge is chosen")
         if self.on_reject not in ON_REJECT:
@@ -216,6 +218,11 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
 
     target = spark.table(spec.table)
     batch = batch.to(target.schema)
+    if spec.dedupe_batch:
+        # The merge reads its batch more than once.
+        batch = stage(
+            latest_per_key(batch, spec.keys, spec.recency), f"latest-{spec.batch_id}"
+        )
     parts = partition_columns(spark, spec.table)
     in_place = bool(parts) and spec.keys_fix_partition
     if in_place:
@@ -223,9 +230,7 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
     if spec.merge == "soft":
         merged = upsert_soft(target, batch, spec.keys, blank_to_none(spec.recency))
     else:
-        merged = upsert(
-            target, batch, spec.keys, blank_to_none(spec.recency), spec.dedupe_batch
-        )
+        merged = upsert(target, batch, spec.keys, blank_to_none(spec.recency))
     if in_place:
         return replace_partitions(merged, spec.table)
     return publish(merged, spec.table, spec.table_root, spec.batch_id, parts)

@@ -14,6 +14,7 @@ from lakeweir.sources.tables import (
     read_table,
     register_table,
     replace_partitions,
+    retire_version,
     save_table,
     touched_partitions,
     write_temp_table,
@@ -38,6 +39,7 @@ __all__ = [
     "record_load",
     "register_table",
     "replace_partitions",
+    "retire_version",
     "save_table",
     "shared_dir",
     "stage",

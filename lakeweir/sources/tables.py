@@ -54,6 +54,10 @@ def read_jdbc(
     return reader.options(**(options or {})).load()
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_columns_ddl(schema: T.StructType, max_len: int | None = None) -> str:
     """Column list for CREATE TABLE; strings bounded to ``max_len`` if given."""
     columns = []
@@ -85,17 +89,18 @@ def register_table(
     fmt = available_format(spark, fmt)
     sql = f"CREATE TABLE IF NOT EXISTS {name} ({table_columns_ddl(schema, max_len)}) USING {fmt}"
     if options:
-        sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
+        pairs = ", ".join(f"{_literal(k)} {_literal(v)}" for k, v in options.items())
+        sql += f" OPTIONS ({pairs})"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
-    spark.sql(f"{sql} LOCATION '{path}'")
+    spark.sql(sql + " LOCATION " + _literal(path))
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a schema; its managed tables live under ``location`` if given."""
-    place = f" LOCATION '{location}'" if location else ""
+    place = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
@@ -113,13 +118,25 @@ def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
     df.write.mode(check_mode(mode)).saveAsTable(name)
 
 
-def table_location(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+def _describe(spark: SparkSession, name: str) -> tuple[str, list[str]]:
+    """Location and partition columns of a table, from one catalog lookup."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    names = [row["col_name"] for row in rows]
+    location = next((r["data_type"] for r in rows if r["col_name"] == "Location"), "")
+    parts: list[str] = []
+    if "# Partition Information" in names:
+        start = names.index("# Partition Information") + 2
+        end = next(i for i in range(start, len(names)) if not names[i])
+        parts = names[start:end]
+    return location, parts
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    return _describe(spark, name)[0]
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return _describe(spark, name)[1]
 
 
 def staging_view_name(table: str) -> str:
@@ -247,7 +264,7 @@ def publish(
     partition_by = column_list(partition_by)
     path = f"{root.rstrip('/')}/v={batch_id}"
     exists = spark.catalog.tableExists(table)
-    if exists and (table_location(spark, table) or "").rstrip("/").endswith(f"/v={batch_id}"):
+    if exists and table_location(spark, table).rstrip("/").endswith(f"/v={batch_id}"):
         raise ValueError(f"batch {batch_id} is the current version of {table}")
 
     counted = Observation()
@@ -268,7 +285,7 @@ def publish(
         )
 
     if exists and not partition_by:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
     else:
         # The catalog keeps a location per partition, which moving the table
         # would not change. The table is external, so dropping it keeps data.
@@ -281,6 +298,20 @@ def publish(
     return counted.get["rows"]
 
 
+def retire_version(spark: SparkSession, table: str, root: str, batch_id: str) -> None:
+    """Free the storage of a version that ``publish`` has since replaced.
+
+    The version is overwritten by an empty one. Call it when no reader that
+    started before the replacement is still at work.
+    """
+    path = f"{root.rstrip('/')}/v={batch_id}"
+    location, parts = _describe(spark, table)
+    if location.rstrip("/").endswith(f"/v={batch_id}"):
+        raise ValueError(f"{batch_id} is the current version of {table}")
+    empty = spark.createDataFrame([], spark.table(table).schema)
+    empty.drop(*parts).write.mode("overwrite").parquet(path)
+
+
 def touched_partitions(target: DataFrame, batch: DataFrame, columns: str | list[str]) -> DataFrame:
     """Target rows in partitions that the batch also has rows in.
 

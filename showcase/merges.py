@@ -138,6 +138,32 @@ SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM t WHERE t.user_id = s.user_id
 FROM s"""
 
 
+def flag_superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = event_sides(spark, sf_dir)
+    return lw.flag_superseded(
+        target.withColumn("live", F.lit(1)), batch, EVENT_KEYS, "ts", flag="live"
+    )
+
+
+FLAG_SUPERSEDED = f"""
+WITH {EVENT_SIDES}
+SELECT t.*, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id
+         AND s.event_type = t.event_type AND s.ts >= t.ts) THEN 0 ELSE 1 END AS live FROM t"""
+
+
+def flag_outdated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = event_sides(spark, sf_dir)
+    return lw.flag_outdated(
+        batch.withColumn("live", F.lit(1)), target, EVENT_KEYS, "ts", flag="live"
+    )
+
+
+FLAG_OUTDATED = f"""
+WITH {EVENT_SIDES}
+SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM t WHERE t.user_id = s.user_id
+         AND t.event_type = s.event_type AND t.ts > s.ts) THEN 0 ELSE 1 END AS live FROM s"""
+
+
 # --- orders and their shipments: a batch with several rows per key -----------
 
 SHIPMENT_SIDES = """
@@ -312,5 +338,7 @@ ENTRIES = {
     "upsert_soft_no_recency": (upsert_soft_no_recency, UPSERT_SOFT_NO_RECENCY),
     "remove_superseded": (remove_superseded, REMOVE_SUPERSEDED),
     "remove_outdated": (remove_outdated, REMOVE_OUTDATED),
+    "flag_superseded": (flag_superseded, FLAG_SUPERSEDED),
+    "flag_outdated": (flag_outdated, FLAG_OUTDATED),
     "append_rows": (append_rows, APPEND_ROWS),
 }

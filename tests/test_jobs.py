@@ -87,6 +87,14 @@ def test_merge_without_recency_replaces_keys(spark, schema, tmp_path):
     assert business(spark, f"{schema}.t", "id", "v") == {(1, "A"): 1, (1, "B"): 1, (2, "b"): 1}
 
 
+def test_merge_loads_can_take_the_newest_row_per_key(spark, schema, tmp_path):
+    land(tmp_path, "1.csv", "id,at,v\n1,10,a\n")
+    land(tmp_path, "2.csv", "id,at,v\n1,11,A\n1,12,B\n2,1,c\n")
+    for file in ("1.csv", "2.csv"):
+        lw.ingest_batch(spark, merge(tmp_path, schema, file, dedupe_batch=True))
+    assert business(spark, f"{schema}.t", "id", "v") == {(1, "B"): 1, (2, "c"): 1}
+
+
 @pytest.mark.parametrize("in_place", [True, False])
 def test_partitioned_merge_loads(spark, schema, tmp_path, in_place):
     how = {"partition_by": "day", "keys_fix_partition": in_place}
@@ -185,6 +193,10 @@ def test_values_that_do_not_fit(spark, schema, tmp_path, on_reject, curated, fil
         ({"merge": "newest"}, "needs key columns"),
         ({"merge": "newest", "keys": "id"}, "table and a table_root"),
         ({"merge": "best", "keys": "id"}, "merge must be"),
+        (
+            {"merge": "newest", "keys": "id", "table": "t", "table_root": "r", "dedupe_batch": 1},
+            "recency",
+        ),
         ({"keys": "id", "table": "t"}, "no merge is chosen"),
         ({"on_reject": "drop"}, "on_reject must be"),
         ({"on_reject": "quarantine"}, "reject_path"),

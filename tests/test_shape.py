@@ -269,3 +269,8 @@ def test_string_bounds(spark):
     assert rows(lw.string_bound_report(df)) == {("long", 1, 4001): 1, ("short", 0, 1): 1}
     assert [len(r["long"]) for r in lw.overlong_rows(df).collect()] == [4001]
     assert lw.overlong_rows(df, 5000).count() == 0
+
+
+def test_preview(spark):
+    assert lw.preview(spark.range(9)).count() == 1
+    assert lw.preview(spark.range(9), 3).count() == 3

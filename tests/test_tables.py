@@ -148,6 +148,17 @@ def test_publish_moves_a_table_that_the_result_was_read_from(spark, schema, tmp_
         lw.publish(spark.table(name), name, root, "two")
 
 
+def test_replaced_versions_can_be_retired(spark, schema, tmp_path):
+    name, root = f"{schema}.p", f"{tmp_path}/it's/v"
+    lw.publish(people(spark, (1, "a")), name, root, "one", partition_by="id")
+    lw.publish(people(spark, (2, "b")), name, root, "two", partition_by="id")
+    lw.retire_version(spark, name, root, "one")
+    assert not glob.glob(f"{root}/v=one/id=*")
+    assert rows(spark.table(name)) == {("b", 2): 1}
+    with pytest.raises(ValueError, match="current version"):
+        lw.retire_version(spark, name, root, "two")
+
+
 def test_publish_refuses_overlong_strings(spark, schema, tmp_path):
     name = f"{schema}.p"
     lw.publish(people(spark, (1, "a")), name, f"{tmp_path}/v", "one")
