@@ -23,11 +23,12 @@ from lakeweir.operators.dedupe import drop_duplicate_rows, latest_per_key
 from lakeweir.operators.flatten import flatten
 from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
-from lakeweir.sources.files import read_dataset, read_path, write_dataset
+from lakeweir.sources.files import DEFAULT_FORMAT, read_dataset, read_path, write_dataset
 from lakeweir.sources.history import record_load
 from lakeweir.sources.staging import stage
 from lakeweir.sources.tables import (
     insert_table,
+    is_current_version,
     partition_columns,
     publish,
     replace_partitions,
@@ -146,6 +147,10 @@ def _alignment_target(spark: SparkSession, spec: BatchSpec) -> T.StructType | No
     )
 
 
+def _curated_format(spec: BatchSpec) -> str:
+    return choose_format("", spec.curated_format or DEFAULT_FORMAT)
+
+
 def _raw(spark: SparkSession, spec: BatchSpec) -> DataFrame:
     return read_dataset(
         spark,
@@ -190,7 +195,7 @@ def _shaped(
 
     if spec.flatten:
         df = flatten(df, explode_columns=spec.explode_columns)
-    if choose_format("", spec.curated_format) in SPACELESS:
+    if _curated_format(spec) in SPACELESS:
         df = strip_column_spaces(df)
     target = _alignment_target(spark, spec)
     may_reject = target is not None and casts_can_fail(df, target)
@@ -210,19 +215,23 @@ def _shaped(
 
 def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
     """Merge into the table and publish; returns the rows written."""
+    exists = spark.catalog.tableExists(spec.table)
+    if exists and is_current_version(spark, spec.table, spec.batch_id):
+        # A repeated run of a load that failed after its merge.
+        return spark.table(spec.table).count()
     if spec.merge == "soft" and ACTIVE_FLAG.lower() not in {c.lower() for c in batch.columns}:
         batch = batch.withColumn(ACTIVE_FLAG, F.lit(1))
-    parts = column_list(spec.partition_by)
-    if not spark.catalog.tableExists(spec.table):
-        return publish(batch, spec.table, spec.table_root, spec.batch_id, parts)
-
-    target = spark.table(spec.table)
-    batch = batch.to(target.schema)
+    if exists:
+        batch = batch.to(spark.table(spec.table).schema)
     if spec.dedupe_batch:
         # The merge reads its batch more than once.
-        batch = stage(
-            latest_per_key(batch, spec.keys, spec.recency), f"latest-{spec.batch_id}"
+        batch = stage(latest_per_key(batch, spec.keys, spec.recency), f"latest-{spec.batch_id}")
+    if not exists:
+        return publish(
+            batch, spec.table, spec.table_root, spec.batch_id, column_list(spec.partition_by)
         )
+
+    target = spark.table(spec.table)
     parts = partition_columns(spark, spec.table)
     in_place = bool(parts) and spec.keys_fix_partition
     if in_place:
@@ -297,7 +306,7 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     lake_first = (
         unfiltered
         and curates
-        and choose_format("", spec.curated_format) in REREADABLE
+        and _curated_format(spec) in REREADABLE
         and spec.curated_mode == "overwrite"
         and not column_list(spec.partition_by)
     )
@@ -313,7 +322,7 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     if lake_first:
         batch = shaped.drop(REJECTED)
         path = _write_curated(spec, batch)
-        batch = read_path(spark, path, spec.curated_format, schema=batch.schema)
+        batch = read_path(spark, path, _curated_format(spec), schema=batch.schema)
     elif table_first:
         insert_table(shaped.drop(REJECTED), spec.table, spec.table_mode)
         batch = None

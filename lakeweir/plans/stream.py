@@ -24,8 +24,10 @@ from lakeweir.streaming.streams import append_stream, file_stream, validated_app
 class StreamSpec:
     """Parameters of one incremental load.
 
-    ``target_schema`` turns on validation of each increment. Without it the
-    stream's own schema, which may gain columns between runs, is the table's.
+    ``target_schema`` turns on validation of each increment; values are then
+    read as text by default, so that one that does not fit is seen and reported
+    rather than nulled by the reader. Without it the stream's own schema, which
+    may gain columns between runs, is the table's.
     """
 
     source: str
@@ -37,10 +39,11 @@ class StreamSpec:
     table: str | None = None
     multiline: bool = False
     recursive: bool = True
-    infer_types: bool = True
+    infer_types: bool | None = None
     header: bool = True
     sep: str | None = None
     max_files: int | None = None
+    corrupt_column: str | None = None
     options: Mapping[str, str] | None = None
     sink_format: str = "parquet"
     target_schema: T.StructType | None = None
@@ -87,10 +90,13 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
     across increments: that would need state that grows for ever.
     """
     fmt = available_format(spark, spec.sink_format)
+    infer_types = spec.infer_types
+    if infer_types is None:
+        infer_types = spec.target_schema is None or spec.fmt not in ("csv", "json")
     reading = {
         "multiline": spec.multiline,
         "recursive": spec.recursive,
-        "infer_types": spec.infer_types,
+        "infer_types": infer_types,
         "header": spec.header,
         "sep": spec.sep,
         "options": spec.options,
@@ -101,7 +107,13 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
             raise ValueError("give a schema, or a schema_path to keep the inferred one")
         schema = evolve_schema(spark, spec.source, spec.fmt, spec.schema_path, **reading)
     stream = file_stream(
-        spark, spec.source, spec.fmt, schema=schema, max_files=spec.max_files, **reading
+        spark,
+        spec.source,
+        spec.fmt,
+        schema=schema,
+        max_files=spec.max_files,
+        corrupt_column=spec.corrupt_column,
+        **reading,
     )
     on_batch, totals = None, {}
     if spec.target_schema is not None:

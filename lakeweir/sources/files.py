@@ -17,6 +17,8 @@ from lakeweir.sources.zones import PLAIN, RAW, choose_format, dataset_path
 CSV_NULL = "0"
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
+DEFAULT_FORMAT = "parquet"
+
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 
@@ -120,7 +122,7 @@ def write_path(
     df: DataFrame,
     path: str,
     *,
-    fmt: str = "parquet",
+    fmt: str | None = DEFAULT_FORMAT,
     mode: str = "overwrite",
     sep: str | None = None,
     header: bool = True,
@@ -135,7 +137,7 @@ def write_path(
     are split. CSV cannot tell a null from ``null_value``.
     """
     check_mode(mode)
-    fmt = available_format(df.sparkSession, choose_format(path, fmt))
+    fmt = available_format(df.sparkSession, choose_format(path, fmt or DEFAULT_FORMAT))
     partition_by = column_list(partition_by)
     if partition_by:
         df = hash_layout(df, partition_by)

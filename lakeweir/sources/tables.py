@@ -139,6 +139,11 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return _describe(spark, name)[1]
 
 
+def is_current_version(spark: SparkSession, table: str, batch_id: str) -> bool:
+    """Whether ``publish`` has already moved the table to this batch."""
+    return table_location(spark, table).rstrip("/").endswith(f"/v={batch_id}")
+
+
 def staging_view_name(table: str) -> str:
     """The prefix goes to the last name part: views carry no schema."""
     return STAGING_PREFIX + table.rsplit(".", 1)[-1]
@@ -264,7 +269,7 @@ def publish(
     partition_by = column_list(partition_by)
     path = f"{root.rstrip('/')}/v={batch_id}"
     exists = spark.catalog.tableExists(table)
-    if exists and table_location(spark, table).rstrip("/").endswith(f"/v={batch_id}"):
+    if exists and is_current_version(spark, table, batch_id):
         raise ValueError(f"batch {batch_id} is the current version of {table}")
 
     counted = Observation()
@@ -305,11 +310,10 @@ def retire_version(spark: SparkSession, table: str, root: str, batch_id: str) ->
     started before the replacement is still at work.
     """
     path = f"{root.rstrip('/')}/v={batch_id}"
-    location, parts = _describe(spark, table)
-    if location.rstrip("/").endswith(f"/v={batch_id}"):
+    if is_current_version(spark, table, batch_id):
         raise ValueError(f"{batch_id} is the current version of {table}")
     empty = spark.createDataFrame([], spark.table(table).schema)
-    empty.drop(*parts).write.mode("overwrite").parquet(path)
+    empty.drop(*partition_columns(spark, table)).write.mode("overwrite").parquet(path)
 
 
 def touched_partitions(target: DataFrame, batch: DataFrame, columns: str | list[str]) -> DataFrame:

@@ -105,6 +105,9 @@ def evolve_schema(
     restart costs the new files, not the whole history.
     """
 
+    # Files that carry their schema need not all carry the same one.
+    merged_files = {"mergeSchema": "true"} if fmt in ("parquet", "orc") else {}
+
     def infer(extra: dict[str, str]) -> DataFrame:
         return read_path(
             spark,
@@ -114,7 +117,7 @@ def evolve_schema(
             header=header,
             multiline=multiline,
             recursive=recursive,
-            options={**(options or {}), **extra},
+            options={**merged_files, **(options or {}), **extra},
         )
 
     stored = _stored(spark, schema_path)

@@ -31,6 +31,7 @@ def file_stream(
     header: bool = True,
     sep: str | None = None,
     max_files: int | None = None,
+    corrupt_column: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Stream of the files under ``path``, each read once.
@@ -38,7 +39,9 @@ def file_stream(
     The schema is given, or inferred and kept at ``schema_path``. Directories
     that are not ``column=value`` are only entered with ``recursive``.
     ``max_files`` bounds one increment, so a large backlog commits in steps
-    instead of one job that starts over when it fails.
+    instead of one job that starts over when it fails. CSV and JSON records
+    that do not fit the schema lose the values in question; with
+    ``corrupt_column`` their whole text is kept in that column.
     """
     if schema is None:
         if schema_path is None:
@@ -55,7 +58,13 @@ def file_stream(
             sep=sep,
             options=options,
         )
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt)
+    if corrupt_column is not None:
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    reader = reader.schema(schema)
     reader = reader.option("recursiveFileLookup", recursive)
     if fmt in ("csv", "json"):
         reader = reader.option("multiLine", multiline)

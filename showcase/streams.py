@@ -115,7 +115,6 @@ def _validated(spark: SparkSession, sf_dir: str) -> str:
                 path=f"{root}/out",
                 checkpoint=f"{root}/checkpoint",
                 schema_path=f"{root}/schema",
-                infer_types=False,
                 target_schema=CHECKED_EVENTS,
                 reject_path=f"{root}/rejects",
                 history_root=f"{root}/history",

@@ -66,6 +66,14 @@ def test_merge_loads(spark, schema, tmp_path, curated):
     }
 
 
+def test_a_load_can_be_repeated_after_its_merge(spark, schema, tmp_path):
+    land(tmp_path, "1.csv", "id,at,v\n1,10,a\n")
+    load = merge(tmp_path, schema, "1.csv", curated_folder="t")
+    assert lw.ingest_batch(spark, load).rows_out == 1
+    assert lw.ingest_batch(spark, load).rows_out == 1
+    assert business(spark, f"{schema}.t", "id", "v") == {(1, "a"): 1}
+
+
 def test_soft_merge_loads_keep_history(spark, schema, tmp_path):
     land(tmp_path, "1.csv", "id,at,v\n1,10,a\n2,10,b\n")
     land(tmp_path, "2.csv", "id,at,v\n1,11,A\n2,9,late\n")
@@ -88,7 +96,7 @@ def test_merge_without_recency_replaces_keys(spark, schema, tmp_path):
 
 
 def test_merge_loads_can_take_the_newest_row_per_key(spark, schema, tmp_path):
-    land(tmp_path, "1.csv", "id,at,v\n1,10,a\n")
+    land(tmp_path, "1.csv", "id,at,v\n1,10,a\n1,9,old\n")
     land(tmp_path, "2.csv", "id,at,v\n1,11,A\n1,12,B\n2,1,c\n")
     for file in ("1.csv", "2.csv"):
         lw.ingest_batch(spark, merge(tmp_path, schema, file, dedupe_batch=True))

@@ -123,6 +123,40 @@ def test_a_failed_increment_is_raised(spark, tmp_path):
         lw.append_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", fail)
 
 
+def test_records_that_do_not_fit_can_be_kept_as_text(spark, tmp_path):
+    drop(tmp_path, "a.csv", {"id": 1, "v": 2}, {"id": 3, "v": "x"}, fmt="csv")
+    lw.ingest_stream(
+        spark,
+        lw.StreamSpec(
+            source=f"{tmp_path}/in",
+            fmt="csv",
+            path=f"{tmp_path}/out",
+            checkpoint=f"{tmp_path}/checkpoint",
+            schema="id int, v int",
+            corrupt_column="_raw",
+        ),
+    )
+    found = spark.read.parquet(f"{tmp_path}/out").select("id", "v", "_raw")
+    assert rows(found) == {(1, 2, None): 1, (3, None, "3,x"): 1}
+
+
+def test_parquet_streams_find_columns_in_any_file(spark, tmp_path):
+    spark.sql("SELECT 1 AS a").write.parquet(f"{tmp_path}/in/1")
+    spark.sql("SELECT 2 AS a, 'x' AS b").write.parquet(f"{tmp_path}/in/2")
+    run(spark, tmp_path, "parquet")
+    assert rows(out(spark, tmp_path)) == {(1, None): 1, (2, "x"): 1}
+
+
+def test_validated_json_is_read_as_text(spark, tmp_path):
+    drop(tmp_path, "a.json", {"id": 1, "v": 2}, {"id": 2, "v": "two"}, {"id": 3})
+    load = spec(tmp_path, reject_path=f"{tmp_path}/bad")
+    load.fmt = "json"
+    result = lw.ingest_stream(spark, load)
+    assert (result.transform_count, result.reject_count) == (2, 1)
+    found = lw.read_increments(spark, f"{tmp_path}/out", TARGET)
+    assert rows(found) == {(1, 2): 1, (3, None): 1}
+
+
 # --- validation --------------------------------------------------------------
 
 TARGET = T.StructType(
@@ -137,7 +171,6 @@ def spec(tmp_path, **more):
         path=f"{tmp_path}/out",
         checkpoint=f"{tmp_path}/checkpoint",
         schema_path=f"{tmp_path}/schema",
-        infer_types=False,
         target_schema=TARGET,
         **more,
     )
