@@ -87,13 +87,15 @@ def comparable(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.ArrayType):
         return F.transform(value, lambda item: comparable(item, data_type.elementType))
     if isinstance(data_type, T.MapType):
-        entries = F.transform(
-            F.map_entries(value),
-            lambda entry: F.struct(
-                comparable(entry["key"], data_type.keyType).alias("key"),
-                comparable(entry["value"], data_type.valueType).alias("value"),
-            ),
-        )
-        return F.array_sort(entries)
+        entries = F.map_entries(value)
+        if holds_type(data_type.valueType, (T.MapType, T.VariantType)):
+            entries = F.transform(
+                entries,
+                lambda entry: F.struct(
+                    entry["key"].alias("key"),
+                    comparable(entry["value"], data_type.valueType).alias("value"),
+                ),
+            )
+        return F.sort_array(entries)
     fields = [comparable(value[f.name], f.dataType).alias(f.name) for f in data_type.fields]
     return F.when(value.isNotNull(), F.struct(*fields))

@@ -169,11 +169,9 @@ def upsert(
     ``dedupe_batch=True`` first keeps only the newest batch row of each key.
     """
     keys, recency = _check(target, batch, keys, recency)
-    if dedupe_batch:
-        if not recency:
-            raise ValueError("dedupe_batch needs a recency column")
-        batch = latest_per_key(batch, keys, recency)
     if not recency:
+        if dedupe_batch:
+            raise ValueError("dedupe_batch needs a recency column")
         return replace_keys(target, batch, keys, colocated)
 
     newest = _greatest(batch, keys, recency)
@@ -182,7 +180,10 @@ def upsert(
         _splittable(keys) & (quoted(recency, "rows") > F.col(f"bounds.{_MOMENT}")),
         "left_semi",
     )
-    incoming = batch.alias("rows").join(
+    # The newest row of a key has the greatest moment of all its rows, so the
+    # bounds need not wait for the reduction.
+    entering = latest_per_key(batch, keys, recency) if dedupe_batch else batch
+    incoming = entering.alias("rows").join(
         _distinct_keys(ahead, keys).alias("bounds"),
         _splittable(keys) & quoted(recency, "rows").isNotNull(),
         "left_anti",

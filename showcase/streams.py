@@ -51,14 +51,14 @@ def stream_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document per file, over several lines; increments of few files."""
     root = workspace(spark, "stream_json")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    # Documents hold at most a thousand orders each.
-    orders.groupBy(F.expr("o_orderkey DIV 1000").alias("slice")).agg(
+    # Documents hold at most ten thousand orders each.
+    orders.groupBy(F.expr("o_orderkey DIV 10000").alias("slice")).agg(
         F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value")
     ).select("value", F.col("slice").cast("string").alias("slice")).write.partitionBy(
         "slice"
     ).option("maxRecordsPerFile", 1).text(f"{root}/in")
     stream = lw.file_stream(
-        spark, f"{root}/in", "json", f"{root}/schema", multiline=True, max_files=50
+        spark, f"{root}/in", "json", f"{root}/schema", multiline=True, max_files=5
     )
     lw.append_stream(stream, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select(
