@@ -315,6 +315,7 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
         and inserts
         and not curates
         and spec.table_mode in ("append", "overwrite")
+        and not column_list(spec.partition_by)
         and not (
             spark.catalog.tableExists(spec.table) and partition_columns(spark, spec.table)
         )
@@ -354,7 +355,9 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
         result.operation = f"insert {spec.table_mode}"
         result.rows_out = result.transform_count
         if not table_first:
-            insert_table(batch, spec.table, spec.table_mode)
+            insert_table(
+                batch, spec.table, spec.table_mode, partition_by=spec.partition_by
+            )
     elif curates:
         result.operation = f"write {spec.curated_mode}"
     if curates and not lake_first:

@@ -69,6 +69,10 @@ def table_columns_ddl(schema: T.StructType, max_len: int | None = None) -> str:
     return ", ".join(columns)
 
 
+def _partitioned_by(columns: list[str]) -> str:
+    return f" PARTITIONED BY ({', '.join(f'`{c}`' for c in columns)})" if columns else ""
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -91,9 +95,7 @@ def register_table(
     if options:
         pairs = ", ".join(f"{_literal(k)} {_literal(v)}" for k, v in options.items())
         sql += f" OPTIONS ({pairs})"
-    if partition_by:
-        sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
-    spark.sql(sql + " LOCATION " + _literal(path))
+    spark.sql(f"{sql}{_partitioned_by(partition_by)} LOCATION {_literal(path)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
@@ -184,13 +186,14 @@ def insert_table(
     post_sql: str | Iterable[str] | None = None,
     cluster_by: str | list[str] | None = None,
     max_len: int = MAX_STRING_LENGTH,
+    partition_by: str | list[str] | None = None,
 ) -> None:
     """Insert a batch into a table.
 
     ``overwrite`` replaces the rows in one write and keeps the declared
     columns, bounded strings included. ``ignore`` leaves an existing table
-    alone; ``error`` refuses one. A missing table is created with strings
-    bounded to ``max_len``. ``pre_sql`` runs before the load. With
+    alone; ``error`` refuses one. A missing table is created, partitioned by
+    ``partition_by`` and with strings bounded to ``max_len``. ``pre_sql`` runs before the load. With
     ``post_sql`` the batch is not inserted but staged, and the statements move
     it on from the view ``STG_<table>``. Each hook is one statement or a list.
 
@@ -219,8 +222,9 @@ def insert_table(
         finally:
             spark.catalog.dropTempView(view)
         return
-    if not exists:
-        spark.sql(f"CREATE TABLE {table} ({table_columns_ddl(df.schema, max_len)}) USING parquet")
+    if not spark.catalog.tableExists(table):
+        sql = f"CREATE TABLE {table} ({table_columns_ddl(df.schema, max_len)}) USING parquet"
+        spark.sql(sql + _partitioned_by(column_list(partition_by)))
     _insert(df, table, overwrite=mode == "overwrite")
 
 

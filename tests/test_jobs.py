@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lakeweir as lw
+from lakeweir.sources.tables import partition_columns
 from tests.helpers import rows
 
 AT = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
@@ -136,6 +137,18 @@ def test_inserts_append_and_overwrite(spark, schema, tmp_path):
     assert kinds["v"] == "varchar(4000)"
 
 
+def test_inserts_into_partitions(spark, schema, tmp_path):
+    land(tmp_path, "1.csv", "day,v\n1,a\n2,b\n")
+    for mode in ("append", "append", "overwrite"):
+        lw.ingest_batch(
+            spark,
+            spec(tmp_path, "1.csv", table=f"{schema}.t", table_mode=mode, partition_by="day"),
+        )
+        found = business(spark, f"{schema}.t", "day", "v")
+    assert found == {(1, "a"): 1, (2, "b"): 1}
+    assert partition_columns(spark, f"{schema}.t") == ["day"]
+
+
 def test_nested_json_load(spark, tmp_path):
     lines = [
         {"id": 1, "who": {"full name": "a"}, "n": [{"x": 1}, {"x": 2}]},

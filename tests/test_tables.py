@@ -99,6 +99,13 @@ def test_hooks_before_and_after(spark, schema):
     assert not spark.catalog.tableExists("STG_p")
 
 
+def test_a_statement_before_the_load_may_drop_the_table(spark, schema):
+    name = f"{schema}.p"
+    lw.insert_table(people(spark, (1, "a")), name, "append")
+    lw.insert_table(people(spark, (2, "b")), name, "append", pre_sql=f"DROP TABLE {name}")
+    assert rows(spark.table(name)) == {(2, "b"): 1}
+
+
 def test_the_staging_prefix_goes_to_the_table_part():
     assert tables.staging_view_name("sales.orders") == "STG_orders"
     assert tables.staging_view_name("orders") == "STG_orders"
