@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,27 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: The folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def prepared(step):
+    """A query or stage whose session lets Python workers import this package and sends them small batches.
+
+    Batches of bounded bytes keep a worker's memory apart from the length of texts.
+    """
+
+    @wraps(step)
+    def run(spark: SparkSession, *args):
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if ROOT not in paths.split(":"):
+            spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{paths}".rstrip(":")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * SLICE_BYTES))
+        return step(spark, *args)
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -202,9 +202,11 @@ class SimilarDocuments:
         return self.docs.mapInArrow(work, schema)
 
     def shared_signatures(self) -> DataFrame:
-        """``(signature, set_key, members)`` of signatures that different sets share.
+        """``(bucket, set_key, members)`` of signatures that different sets share.
 
         A task signs each set once, so copies do not pile up on their signatures.
+        Signatures with the same members make one bucket: near copies share most
+        of theirs and are compared once.
         """
         n, percent = self.n, self.percent
 
@@ -225,9 +227,10 @@ class SimilarDocuments:
         return (
             self.docs.select("text")
             .mapInArrow(work, "signature long, set_key long")
-            .withColumns({"least": F.min("set_key").over(all_of_it), "most": F.max("set_key").over(all_of_it), "members": F.count("*").over(all_of_it)})
+            .withColumns({"least": F.min("set_key").over(all_of_it), "most": F.max("set_key").over(all_of_it),
+                          "members": F.count("*").over(all_of_it), "mixed": F.bit_xor(F.xxhash64("set_key")).over(all_of_it)})
             .where("least <> most")
-            .select("signature", "set_key", "members")
+            .select(F.xxhash64("least", "most", "members", "mixed").alias("bucket"), "set_key", "members")
             .distinct()
         )
 
@@ -254,7 +257,7 @@ class SimilarDocuments:
         sets = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.first("n_shingles").alias("n_shingles"), F.first("parities").alias("parities"))
         members = shared.join(sets, "set_key")
         dealt = in_block_pairs(members, "set_key", F.ceil(F.col("members") / BLOCK_MEMBERS))
-        keys = ["signature", "lo", "hi"]
+        keys = ["bucket", "lo", "hi"]
         return (
             dealt.select(*keys, "block", "set_key", "n_shingles", "parities")
             .repartition(*keys)

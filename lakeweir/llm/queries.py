@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeweir.llm.common import read_table
+from lakeweir.llm.common import prepared, read_table
 from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.sql import NGRAM_JACCARD
 
-ROOT = str(Path(__file__).resolve().parents[2])
-
-
-def with_code(query):
-    """Let Python workers import this package where it is not installed on them."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-        if ROOT not in paths.split(":"):
-            spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{paths}".rstrip(":")
-        return query(spark, sf_dir)
-
-    return run
-
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_table(spark, sf_dir, "documents"))
@@ -33,4 +17,4 @@ QUERIES = {
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
 }
 
-ENTRIES = {name: (with_code(query), sql) for name, (query, sql) in QUERIES.items()}
+ENTRIES = {name: (prepared(query), sql) for name, (query, sql) in QUERIES.items()}
