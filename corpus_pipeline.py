@@ -1,4 +1,8 @@
-"""A training-data pipeline over ``documents``, as stages that each rewrite the table."""
+"""A training-data pipeline over ``documents``, as stages that each rewrite the table.
+
+Each stage takes the table that the one before has left, and all but the last
+return its columns. A row is a document; stages cope with null and repeated ids.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +10,90 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lakeweir.llm.common import read_table, shared_folder
+from lakeweir.llm.common import prepared, read_table, shared_folder
+from lakeweir.llm.langid import held_out, train, with_language
+from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
+from lakeweir.llm.postings import contamination
+from lakeweir.llm.queries import END_ID, WORD_BPE
+from lakeweir.llm.repair import token_files
+from lakeweir.llm.tokens import tokenizer_source
+
+#: Language ID rejects what scores lower, beside texts without a letter.
+LEAST_LANGUAGE_SCORE = 0.25
+
+
+def _row_key(docs: DataFrame):
+    return F.xxhash64(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: texts without a letter, and texts that no language fits, go."""
+    code, score = "__lang_pred", "__lang_score"
+    known = with_language(docs, train(docs.select("doc_id", "text", "lang"), ~held_out()), code, score)
+    return known.where((F.col(code) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(code, score)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: the document with the smallest id of each component stays."""
-    kept = similar_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """N-gram Jaccard join: of each component the row with the smallest id stays.
+
+    Rows of one id and component, as repeated rows, leave one. Documents without
+    words, and those with a null id, are in no group and stay.
+    """
+    rows = similar_components(docs).where("doc_id IS NOT NULL AND n_shingles > 0")
+    gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    twice = rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_id"))
+    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    marked = kept.join(twice, kept["doc_id"] == twice["twice_id"], "left")
+    single = marked.where("twice_id IS NULL").drop("twice_id")
+    first = F.row_number().over(Window.partitionBy("twice_id").orderBy(_row_key(docs)))
+    again = marked.where("twice_id IS NOT NULL").withColumn("__place", first).where("__place = 1")
+    return single.unionByName(again.drop("twice_id", "__place"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with ten consecutive words of an item go."""
+    rows = contamination(docs.select(_row_key(docs).alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    gone = rows.where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, _row_key(docs) == gone["__gone"], "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: each row is repeated as often as the mix takes it, or goes.
+
+    Equal rows share the copies that they take together.
+    """
+    keyed = docs.withColumn("__key", _row_key(docs))
+    taken = mixed(keyed.select("doc_id", "source", "text", "__key"), keep=["__key"])
+    taken = taken.groupBy("__key").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    taken = taken.where("__copies > 0").withColumnRenamed("__key", "__of")
+    joined = keyed.join(taken, keyed["__key"] == taken["__of"])
+    alone = joined.where("__rows = 1").withColumn("__own", F.col("__copies"))
+    place = F.row_number().over(Window.partitionBy("__of").orderBy("__key"))
+    many = joined.where("__rows > 1").withColumn("__place", place)
+    own = F.expr("(__copies div __rows) + cast(__place <= __copies % __rows AS INT)")
+    many = many.withColumn("__own", own).drop("__place").where("__own > 0")
+    repeated = alone.unionByName(many).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__own").cast("int"))))
+    return repeated.select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-ID output: Re-Pair files of all documents, and what is read back from them."""
+    files = token_files(docs, shared_folder(spark), tokenizer_source(WORD_BPE), END_ID)
+    return files.documents().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-STAGES = [("ngram_jaccard_join", one_of_each_group)]
+STAGES = [
+    ("language_id", prepared(identify_language)),
+    ("ngram_jaccard_join", prepared(one_of_each_group)),
+    ("benchmark_decontamination", prepared(drop_contaminated)),
+    ("mixing", prepared(mix_sources)),
+    ("token_output", prepared(write_tokens)),
+]
 
+#: The tokenizer and the fitted classifier have no form in SQL.
 ORACLE_SQL = None
 
 

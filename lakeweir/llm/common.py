@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Bytes of text that numpy works on at a time inside a task.
 SLICE_BYTES = 1 << 20
@@ -118,3 +119,18 @@ def in_block_pairs(df: DataFrame, member: str, blocks: Column) -> DataFrame:
         .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
         .drop("other", "n_blocks")
     )
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Each row's place, from 0, in the order of the whole frame.
+
+    Rows are dealt by range and sorted in their tasks; a place is the row's in
+    its task plus the rows of the tasks before. Meant for narrow rows: they are
+    written once.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = saved(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranged")
+    parts = ranged.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_least"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))
+    return ranged.join(parts, "_part").withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")

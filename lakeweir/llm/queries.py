@@ -1,20 +1,53 @@
-"""The queries of this subpackage: one for each operator, over its whole table, and the pipeline."""
+"""The queries of this subpackage: one for each operator, over its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeweir.llm.common import prepared, read_table
+from lakeweir.llm.common import prepared, read_table, shared_folder
+from lakeweir.llm.langid import identified
+from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
-from lakeweir.llm.sql import NGRAM_JACCARD
+from lakeweir.llm.postings import contamination
+from lakeweir.llm.repair import token_files
+from lakeweir.llm.sql import DECONTAMINATION, NGRAM_JACCARD
+from lakeweir.llm.tokens import tokenizer_source
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 1
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_table(spark, sf_dir, "documents"))
 
 
+def op6_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    files = token_files(docs, shared_folder(spark), tokenizer_source(WORD_BPE), END_ID)
+    return files.documents().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixed(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
+    "op6_repair_tokens": (op6_repair_tokens, None),
+    "op7_pivotal_mixing": (op7_pivotal_mixing, None),
+    "op9_decontamination": (op9_decontamination, DECONTAMINATION),
+    "op10_language_id": (op10_language_id, None),
 }
 
 ENTRIES = {name: (prepared(query), sql) for name, (query, sql) in QUERIES.items()}

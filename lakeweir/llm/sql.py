@@ -23,3 +23,33 @@ SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(r.root, o
 FROM documents d LEFT JOIN sets s ON s.doc_id = d.doc_id
 LEFT JOIN one o ON o.s = list_sort(s.s) LEFT JOIN roots r ON r.at = o.rep
 """
+
+#: Words of documents inside runs of ten consecutive benchmark words.
+DECONTAMINATION = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), starts AS (
+  SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM item_words WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS g FROM starts
+), lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT p.doc_id, p.i, p.n, s.item_id FROM places p JOIN windows s ON s.n = p.n AND s.g = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')
+), words_hit AS (
+  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN words_hit h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+"""
