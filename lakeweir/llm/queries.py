@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.llm.common import prepared, read_table, shared_folder
+from lakeweir.llm.html import main_texts
 from lakeweir.llm.langid import identified
 from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.postings import contamination
 from lakeweir.llm.repair import token_files
+from lakeweir.llm.spotsigs import edited_fingerprints
 from lakeweir.llm.sql import DECONTAMINATION, NGRAM_JACCARD
 from lakeweir.llm.tokens import tokenizer_source
 
@@ -23,6 +25,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_table(spark, sf_dir, "documents"))
 
 
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op6_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     files = token_files(docs, shared_folder(spark), tokenizer_source(WORD_BPE), END_ID)
@@ -34,6 +40,10 @@ def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -44,8 +54,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
+    "op5_spotsigs": (op5_spotsigs, None),
     "op6_repair_tokens": (op6_repair_tokens, None),
     "op7_pivotal_mixing": (op7_pivotal_mixing, None),
+    "op8_html_main_text": (op8_html_main_text, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION),
     "op10_language_id": (op10_language_id, None),
 }
