@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from lakeweir.llm.common import prepared, read_table, shared_folder
 from lakeweir.llm.html import main_texts
+from lakeweir.llm.kneserney import quality
 from lakeweir.llm.langid import identified
+from lakeweir.llm.lengths import length_counts, length_histogram
 from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.postings import contamination
@@ -21,10 +23,18 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_table(spark, sf_dir, "documents"))
 
 
+def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(length_counts(read_table(spark, sf_dir, "documents"), tokenizer_source(WORD_BPE)))
+
+
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +63,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_kneser_ney": (op2_kneser_ney, None),
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
+    "op4_length_histogram": (op4_length_histogram, None),
     "op5_spotsigs": (op5_spotsigs, None),
     "op6_repair_tokens": (op6_repair_tokens, None),
     "op7_pivotal_mixing": (op7_pivotal_mixing, None),
