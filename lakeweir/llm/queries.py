@@ -17,11 +17,19 @@ from lakeweir.llm.postings import contamination
 from lakeweir.llm.repair import token_files
 from lakeweir.llm.spotsigs import edited_fingerprints
 from lakeweir.llm.sql import DECONTAMINATION, NGRAM_JACCARD
+from lakeweir.llm.surrogates import with_surrogates
 from lakeweir.llm.tokens import tokenizer_source
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
+#: The key that surrogates are drawn with here; a production run brings its own.
+SURROGATE_KEY = "documents"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_surrogates(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
 
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -63,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": (op1_pii_surrogates, None),
     "op2_kneser_ney": (op2_kneser_ney, None),
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
     "op4_length_histogram": (op4_length_histogram, None),
