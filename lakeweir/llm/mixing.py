@@ -110,15 +110,16 @@ def mixed(docs: DataFrame, keep: list[str] | None = None, weights: tuple[int, ..
     to hand through. An empty table gives no rows.
     """
     keep = keep or []
+    held = [f"__keep_{i}" for i in range(len(keep))]
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(5)), 11) / float(1 << 53)
-    rows = saved(docs.select("doc_id", "source", words.alias("size"), draw.alias("draw"), *keep), "sizes")
+    rows = saved(docs.select("doc_id", "source", words.alias("size"), draw.alias("draw"), *[F.col(c).alias(h) for c, h in zip(keep, held, strict=True)]), "sizes")
     targets = source_targets(rows.select("source", "size"), weights, most)
     targets = saved(targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)), "targets")
     widest = targets.agg(F.max("n_docs")).first()[0] or 0
     rows = rows.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     rows = rows.select(
-        "doc_id", "size", "source_size", "target", "draw", "number", *keep,
+        "doc_id", "size", "source_size", "target", "draw", "number", *held,
         F.floor("rate").alias("whole"),
         (F.col("rate") - F.floor("rate")).alias("fraction"),
         F.floor(F.pmod(F.xxhash64("draw"), F.greatest(F.lit(1), F.ceil(F.col("n_docs") / FAN_IN)))).cast("long").alias("task"),
@@ -143,4 +144,4 @@ def mixed(docs: DataFrame, keep: list[str] | None = None, weights: tuple[int, ..
     for part in done[1:]:
         out = out.unionByName(part)
     copies = F.col("whole") + F.col("fraction").cast("long")
-    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *keep)
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *[F.col(h).alias(c) for c, h in zip(keep, held, strict=True)])
