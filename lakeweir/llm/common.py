@@ -32,7 +32,7 @@ def prepared(step):
         paths = spark.sparkContext.environment.get("PYTHONPATH", "")
         if ROOT not in paths.split(":"):
             spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{paths}".rstrip(":")
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * SLICE_BYTES))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * SLICE_BYTES))
         return step(spark, *args)
 
     return run

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeweir.llm.common import text_slices
-from lakeweir.llm.tokens import encoder
+from lakeweir.llm.tokens import ENCODE_BYTES, encoder
 
 #: Lengths that share a block; sums go over blocks first and then inside each.
 BLOCK = 1024
@@ -30,7 +30,7 @@ def length_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
     def work(batches):
         seen: dict[int, int] = {}
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ENCODE_BYTES):
                 _, starts = encoder(tokenizer).encode(part.column("text"))
                 for n, times in zip(*(a.tolist() for a in np.unique(np.diff(starts), return_counts=True)), strict=True):
                     seen[n] = seen.get(n, 0) + times

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeweir.llm.common import text_slices
-from lakeweir.llm.tokens import encoder
+from lakeweir.llm.tokens import ENCODE_BYTES, encoder
 
 #: Ids in a shard; one document of more makes a larger shard.
 SHARD_IDS = 400_000
@@ -68,14 +68,19 @@ class Grammar:
 
 def _frequent_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that occur at least :data:`LEAST_COUNT` times, most frequent first."""
-    keys = np.sort((seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:])
-    starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+    # Symbols by their rank among those in use; up to 2^16 of them, a pair fits 32 bits.
+    used = np.zeros(int(seq.max()) + 1, bool)
+    used[seq] = True
+    symbols = np.flatnonzero(used).astype(np.uint32)
+    kind, shift = (np.uint32, 16) if len(symbols) <= 1 << 16 else (np.uint64, 32)
+    rank = (np.cumsum(used) - 1).astype(kind)[seq]
+    keys = np.sort((rank[:-1] << kind(shift)) | rank[1:])
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts = np.diff(starts, append=len(keys))
     often = counts >= LEAST_COUNT
     pairs, counts = keys[starts[often]], counts[often]
-    order = np.argsort(-counts, kind="stable")
-    pairs = pairs[order]
-    return (pairs >> np.uint64(32)).astype(np.uint32), (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    pairs = pairs[np.argsort(-counts, kind="stable")]
+    return symbols[pairs >> kind(shift)], symbols[pairs & kind((1 << shift) - 1)]
 
 
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,7 +194,7 @@ class TokenFiles:
         def work(batches):
             made, ids, tokens, lengths, held = 0, [], [], [], 0
             for batch in batches:
-                for part in text_slices(batch, "text"):
+                for part in text_slices(batch, "text", ENCODE_BYTES):
                     out, starts = encoder(tokenizer).encode(part.column("text"), end)
                     ids.append(part.column("doc_id"))
                     tokens.append(out)

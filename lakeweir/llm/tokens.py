@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -18,7 +19,9 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words whose ids are kept; beyond it, the memory is emptied and filled anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
+#: Bytes of text that are encoded at a time: the more, the more words are the same.
+ENCODE_BYTES = 8 << 20
 
 #: The form of a tokenizer whose words can be encoded one by one.
 _BY_WORD = {
@@ -30,7 +33,8 @@ _BY_WORD = {
     "splits": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
 }
 #: Words of these characters alone take the direct way; all others go through the tokenizer as they are.
-_PLAIN = regex.compile(r"[\p{L}\p{N}\x21-\x7e]+")
+#: Libraries differ in what they take for a letter among newer characters, so only old blocks count.
+_PLAIN = regex.compile(r"(?:[\x21-\x7e]|(?=[\p{L}\p{N}])[\u00c0-\u024f\u0370-\u03ff\u0400-\u04ff])+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,6 +49,7 @@ class Encoder:
 
     def __init__(self, source: str):
         self.tokenizer = Tokenizer.from_str(source)
+        self.model = self.tokenizer.model
         spec = json.loads(source)
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         self.by_word = (
@@ -61,39 +66,43 @@ class Encoder:
     def forget(self):
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.bounds = [0]
+        self.bounds = array("q", [0])
 
     def word(self, word: str) -> list[int]:
         """The ids of one word without white space."""
-        if word.isascii() and word.isalpha():
-            parts = [word.lower()]
+        core = word.rstrip(".,;:!?")
+        if core.isascii() and core.isalpha():
+            parts = [core.lower(), word[len(core) :]] if len(core) < len(word) else [core.lower()]
+            if len(parts) == 2 and (known := self.place.get(parts[0])) is not None:
+                first, last = self.bounds[known], self.bounds[known + 1]
+                return [*self.ids[first:last].tolist(), *self.part(parts[1])]
         elif _PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word) and not any(s in word for s in self.special):
             parts = self.splits.findall("".join(c.lower() for c in word))
         else:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out = []
-        for part in parts:
-            if not part.isascii():
-                part = part.encode().decode("latin-1").translate(self.letters)
-            out += [t.id for t in self.tokenizer.model.tokenize(part)]
-        return out
+        return [i for part in parts for i in self.part(part)]
+
+    def part(self, part: str) -> list[int]:
+        """The ids of what the tokenizer takes for one word."""
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(part)]
 
     def places(self, words: list[str]) -> np.ndarray:
         if len(self.place) > KEPT_WORDS:
             self.forget()
-        out = np.empty(len(words), np.int64)
-        for i, word in enumerate(words):
-            at = self.place.get(word)
-            if at is None:
-                own = self.word(word)
-                at = self.place[word] = len(self.bounds) - 1
-                end = self.bounds[-1] + len(own)
-                if end > len(self.ids):
-                    self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(own)), np.uint32)))
-                self.ids[self.bounds[-1] : end] = own
-                self.bounds.append(end)
-            out[i] = at
-        return out
+        out = list(map(self.place.get, words))
+        if None in out:
+            for i, at in enumerate(out):
+                if at is None:
+                    own = self.word(words[i])
+                    out[i] = self.place[words[i]] = len(self.bounds) - 1
+                    end = self.bounds[-1] + len(own)
+                    if end > len(self.ids):
+                        self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(own)), np.uint32)))
+                    self.ids[self.bounds[-1] : end] = own
+                    self.bounds.append(end)
+        return np.array(out, np.int64)
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, starts)``: text ``i`` has the ids from ``starts[i]`` to ``starts[i + 1]``.
@@ -111,7 +120,7 @@ class Encoder:
         words = split.values
         words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words).dictionary_encode()
         place = self.places(words.dictionary.to_pylist())[words.indices.to_numpy(zero_copy_only=False)]
-        bounds = np.array(self.bounds)
+        bounds = np.array(self.bounds, np.int64)
         first, length = bounds[place], bounds[place + 1] - bounds[place]
         sums = np.concatenate(([0], np.cumsum(length)))
         offsets = split.offsets.to_numpy()
