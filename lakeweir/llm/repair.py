@@ -196,13 +196,18 @@ class TokenFiles:
             for batch in batches:
                 for part in text_slices(batch, "text", ENCODE_BYTES):
                     out, starts = encoder(tokenizer).encode(part.column("text"), end)
-                    ids.append(part.column("doc_id"))
-                    tokens.append(out)
-                    lengths.append(np.diff(starts))
-                    held += len(out)
-                    if held >= SHARD_IDS:
-                        yield row(made, ids, tokens, lengths)
-                        made, ids, tokens, lengths, held = made + 1, [], [], [], 0
+                    first = 0
+                    while first < part.num_rows:
+                        # As many documents as the shard has room for, and one at least.
+                        room = starts[first] + SHARD_IDS - held
+                        last = max(first + 1, int(np.searchsorted(starts, room, side="right")) - 1)
+                        ids.append(part.column("doc_id").slice(first, last - first))
+                        tokens.append(out[starts[first] : starts[last]])
+                        lengths.append(np.diff(starts[first : last + 1]))
+                        held, first = held + len(tokens[-1]), last
+                        if held >= SHARD_IDS or first < part.num_rows:
+                            yield row(made, ids, tokens, lengths)
+                            made, ids, tokens, lengths, held = made + 1, [], [], [], 0
             if ids:
                 yield row(made, ids, tokens, lengths)
 

@@ -19,9 +19,9 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words whose ids are kept; beyond it, the memory is emptied and filled anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 #: Bytes of text that are encoded at a time: the more, the more words are the same.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 
 #: The form of a tokenizer whose words can be encoded one by one.
 _BY_WORD = {
@@ -119,16 +119,19 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         words = split.values
         words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words).dictionary_encode()
-        place = self.places(words.dictionary.to_pylist())[words.indices.to_numpy(zero_copy_only=False)]
-        bounds = np.array(self.bounds, np.int64)
-        first, length = bounds[place], bounds[place + 1] - bounds[place]
+        place = self.places(words.dictionary.to_pylist())
+        bounds = np.frombuffer(self.bounds, np.int64)
+        of = words.indices.to_numpy(zero_copy_only=False)
+        first, length = bounds[place][of], (bounds[place + 1] - bounds[place])[of]
+        del bounds  # the array cannot grow while a view of it is held
         sums = np.concatenate(([0], np.cumsum(length)))
         offsets = split.offsets.to_numpy()
         starts = sums[offsets] + np.arange(len(texts) + 1) * extra
         owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
         out = np.full(starts[-1], end or 0, np.uint32)
-        inside = np.arange(sums[-1]) - np.repeat(sums[:-1], length)
-        out[np.repeat(sums[:-1] + owner * extra, length) + inside] = self.ids[np.repeat(first, length) + inside]
+        from_start = np.arange(sums[-1])
+        own = self.ids[from_start + np.repeat(first - sums[:-1], length)]
+        out[from_start + np.repeat(owner * extra, length)] = own
         return out, starts
 
 
