@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,15 +50,74 @@ def casts_can_fail(df: DataFrame, target: T.StructType) -> bool:
     )
 
 
+def _scalar(value: Column, found: T.DataType, wanted: T.DataType, truncate: bool):
+    """A cast value, and whether it lost what it stood for."""
+    cast = value.try_cast(wanted)
+    lost = value.isNotNull() & cast.isNull()
+    numbers = isinstance(found, T.NumericType) and isinstance(wanted, T.NumericType)
+    moments = isinstance(found, (T.TimestampType, T.TimestampNTZType)) and isinstance(wanted, T.DateType)
+    if not truncate and (numbers or moments):
+        lost = lost | (cast.isNotNull() & ~cast.try_cast(found).eqNullSafe(value))
+    return cast, lost
+
+
+def _fitted(value: Column, found: T.DataType, wanted: T.DataType, on_extra: str, truncate: bool):
+    """``(value as wanted, whether any part of it did not fit)``, at every depth.
+
+    Fields of structs match by name in any case, like columns.
+    """
+    if _same_type(found, wanted):
+        return value, F.lit(False)
+    if isinstance(found, T.StructType) and isinstance(wanted, T.StructType):
+        known = {f.name.lower(): f for f in found.fields}
+        extra = known.keys() - {f.name.lower() for f in wanted.fields}
+        if extra and on_extra == "error":
+            raise ValueError(f"fields {sorted(extra)} are not in the target schema")
+        parts, lost = [], F.lit(False)
+        for field in wanted.fields:
+            own = known.get(field.name.lower())
+            if own is None:
+                parts.append(F.lit(None).cast(_plain(field.dataType)).alias(field.name))
+                continue
+            part, bad = _fitted(
+                value.getField(own.name), own.dataType, _plain(field.dataType), on_extra, truncate
+            )
+            parts.append(part.alias(field.name))
+            lost = lost | bad
+        return F.when(value.isNotNull(), F.struct(*parts)), value.isNotNull() & lost
+    if isinstance(found, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        inner = found.elementType, _plain(wanted.elementType), on_extra, truncate
+        lost = F.exists(value, lambda x: _fitted(x, *inner)[1])
+        return F.transform(value, lambda x: _fitted(x, *inner)[0]), F.coalesce(lost, F.lit(False))
+    if isinstance(found, T.MapType) and isinstance(wanted, T.MapType) and _same_type(
+        found.keyType, wanted.keyType
+    ):
+        inner = found.valueType, _plain(wanted.valueType), on_extra, truncate
+        lost = F.exists(F.map_values(value), lambda x: _fitted(x, *inner)[1])
+        return (
+            F.transform_values(value, lambda _, x: _fitted(x, *inner)[0]),
+            F.coalesce(lost, F.lit(False)),
+        )
+    return _scalar(value, found, wanted, truncate)
+
+
 def align_with_report(
-    df: DataFrame, target: T.StructType, on_extra: str = "drop", report: str = REJECTED
+    df: DataFrame,
+    target: T.StructType,
+    on_extra: str = "drop",
+    report: str = REJECTED,
+    truncate: bool = False,
 ) -> DataFrame:
     """Aligned columns plus a report column listing values that did not fit.
 
-    One projection without a shuffle: names match in any case, order and types
-    follow ``target``, missing nullable columns become null, and each cast is
-    a ``try_cast`` whose failures are reported (column and original text)
-    rather than lost. The report is null on rows where every value fits.
+    One projection without a shuffle: names match in any case and at every
+    depth, order and types follow ``target``, missing nullable columns and
+    fields become null, and each cast is a ``try_cast`` whose failures, inside
+    structs, arrays and maps too, are reported (column and original text)
+    rather than lost. A number that does not convert back to the same value,
+    and a moment that loses its time of day, count as failures unless
+    ``truncate`` asks for them. The report is null on rows where every value
+    fits.
     """
     source = _match_columns(df, target, on_extra)
     aligned, failures = [], []
@@ -72,17 +131,14 @@ def align_with_report(
         if _same_type(found.dataType, wanted):
             aligned.append(value.alias(field.name))
             continue
-        cast = value.try_cast(wanted)
-        aligned.append(cast.alias(field.name))
+        fitted, lost = _fitted(value, found.dataType, wanted, on_extra, truncate)
+        aligned.append(fitted.alias(field.name))
         if isinstance(found.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
             text = F.to_json(value)
         else:
             text = value.cast("string")
         failures.append(
-            F.when(
-                value.isNotNull() & cast.isNull(),
-                F.struct(F.lit(field.name).alias("column"), text.alias("value")),
-            )
+            F.when(lost, F.struct(F.lit(field.name).alias("column"), text.alias("value")))
         )
     if failures:
         bad = F.array_compact(F.array(*failures))
@@ -93,7 +149,11 @@ def align_with_report(
 
 
 def align_schema(
-    df: DataFrame, target: T.StructType, on_extra: str = "drop", cast: str = "try"
+    df: DataFrame,
+    target: T.StructType,
+    on_extra: str = "drop",
+    cast: str = "try",
+    truncate: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into rows that fit ``target`` and rows that do not.
 
@@ -117,7 +177,7 @@ def align_schema(
         return aligned, empty
     if cast != "try":
         raise ValueError(f"cast must be 'try' or 'store', not {cast!r}")
-    report = align_with_report(df, target, on_extra)
+    report = align_with_report(df, target, on_extra, truncate=truncate)
     return report.where(F.col(REJECTED).isNull()).drop(REJECTED), report.where(
         F.col(REJECTED).isNotNull()
     )

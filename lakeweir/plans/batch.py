@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweir.functions.audit import AUDIT_COLUMNS, add_audit
+from lakeweir.functions.audit import AUDIT_COLUMNS, TENANT_COLUMN, add_audit
 from lakeweir.functions.columns import blank_to_none, column_list, fresh_name, quoted, truthy
 from lakeweir.operators.align import (
     REJECTED,
@@ -25,10 +25,12 @@ from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
 from lakeweir.sources.files import DEFAULT_FORMAT, read_dataset, read_path, write_dataset
 from lakeweir.sources.history import record_load
-from lakeweir.sources.staging import stage
+from lakeweir.sources.staging import release, stage
 from lakeweir.sources.tables import (
     insert_table,
     is_current_version,
+    last_batch,
+    mark_batch,
     partition_columns,
     publish,
     replace_partitions,
@@ -69,8 +71,9 @@ class BatchSpec:
     load_time: dt.datetime | None = None
 
     target_schema: T.StructType | None = None
-    on_extra: str = "drop"
-    on_reject: str = "null"
+    on_extra: str = "error"
+    on_reject: str = "error"
+    truncate: bool = False
     reject_path: str | None = None
 
     table: str | None = None
@@ -133,20 +136,36 @@ class LoadResult:
         )
 
 
-def _alignment_target(spark: SparkSession, spec: BatchSpec) -> T.StructType | None:
-    """Columns the source has to supply: the table's, without those we add."""
+def _alignment_target(
+    spark: SparkSession, spec: BatchSpec, columns: list[str]
+) -> T.StructType | None:
+    """Columns the source has to supply: the table's, without those this load adds.
+
+    A tenant column that no ``tenant`` fills, and an active flag that the source
+    has, are the source's own.
+    """
     if spec.target_schema is not None:
         return spec.target_schema
     if not spec.table or not spark.catalog.tableExists(spec.table):
         return None
     added = {name.lower() for name in AUDIT_COLUMNS}
-    if spec.merge == "soft":
+    if spec.tenant is None:
+        added.discard(TENANT_COLUMN.lower())
+    if spec.merge == "soft" and ACTIVE_FLAG.lower() not in {c.lower() for c in columns}:
         added.add(ACTIVE_FLAG.lower())
     return T.StructType(
         [f for f in spark.table(spec.table).schema.fields if f.name.lower() not in added]
     )
 
 
+def _has_batch(spark: SparkSession, spec: BatchSpec) -> bool:
+    return (
+        blank_to_none(spec.table) is not None
+        and spark.catalog.tableExists(spec.table)
+        and last_batch(spark, spec.table) == spec.batch_id
+    )
+
+
 def _curated_format(spec: BatchSpec) -> str:
     return choose_format("", spec.curated_format or DEFAULT_FORMAT)
 
@@ -171,10 +190,11 @@ def _raw(spark: SparkSession, spec: BatchSpec) -> DataFrame:
 
 def _shaped(
     spark: SparkSession, spec: BatchSpec, raw: DataFrame
-) -> tuple[DataFrame, bool, Observation, Observation]:
+) -> tuple[DataFrame, str, bool, Observation, Observation]:
     """The batch as it will be stored, with row counts attached to its plan.
 
-    Returns it with a report column, and whether that can hold anything.
+    Returns it with a report column, the column's name, and whether it can hold
+    anything.
 
     Counts are taken after the last shuffle. Spark adds up a count of an
     earlier stage again when a lost executor makes that stage run twice; the
@@ -197,32 +217,41 @@ def _shaped(
         df = flatten(df, explode_columns=spec.explode_columns)
     if _curated_format(spec) in SPACELESS:
         df = strip_column_spaces(df)
-    target = _alignment_target(spark, spec)
+    target = _alignment_target(spark, spec, df.columns)
     may_reject = target is not None and casts_can_fail(df, target)
+    # The source may have a column of this name, as our own quarantine files do.
+    report = fresh_name(df, REJECTED)
     if target is not None:
-        df = align_with_report(df, target, spec.on_extra)
+        df = align_with_report(df, target, spec.on_extra, report, spec.truncate)
     else:
-        df = df.withColumn(REJECTED, F.lit(None).cast(REJECTED_TYPE))
+        df = df.withColumn(report, F.lit(None).cast(REJECTED_TYPE))
     df = df.observe(
         written_counts,
         F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(REJECTED)).alias("rejected"),
+        F.count(quoted(report)).alias("rejected"),
     )
     source = dataset_path(spec.zones, RAW, spec.container, spec.folder, spec.file)
     audited = add_audit(df, spec.instance_id, source, spec.load_time, spec.tenant)
-    return audited, may_reject, read_counts, written_counts
+    return audited, report, may_reject, read_counts, written_counts
 
 
 def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
     """Merge into the table and publish; returns the rows written."""
     exists = spark.catalog.tableExists(spec.table)
-    if exists and is_current_version(spark, spec.table, spec.batch_id):
+    if exists and (
+        is_current_version(spark, spec.table, spec.batch_id)
+        or last_batch(spark, spec.table) == spec.batch_id
+    ):
         # A repeated run of a load that failed after its merge.
         return spark.table(spec.table).count()
     if spec.merge == "soft" and ACTIVE_FLAG.lower() not in {c.lower() for c in batch.columns}:
         batch = batch.withColumn(ACTIVE_FLAG, F.lit(1))
     if exists:
-        batch = batch.to(spark.table(spec.table).schema)
+        known = spark.table(spec.table).schema
+        names = {c.lower() for c in known.names}
+        if extra := [c for c in batch.columns if c.lower() not in names]:
+            raise ValueError(f"columns {extra} are not in table {spec.table}")
+        batch = batch.to(known)
     if spec.dedupe_batch:
         # The merge reads its batch more than once.
         batch = stage(latest_per_key(batch, spec.keys, spec.recency), f"latest-{spec.batch_id}")
@@ -241,7 +270,9 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
     else:
         merged = upsert(target, batch, spec.keys, blank_to_none(spec.recency))
     if in_place:
-        return replace_partitions(merged, spec.table)
+        rows = replace_partitions(merged, spec.table)
+        mark_batch(spark, spec.table, spec.batch_id)
+        return rows
     return publish(merged, spec.table, spec.table_root, spec.batch_id, parts)
 
 
@@ -278,7 +309,7 @@ def _record(spark: SparkSession, spec: BatchSpec, result: LoadResult) -> LoadRes
 
 
 def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
-    """Run one batch load.
+    """Run one batch load, and free what it staged.
 
     The source is evaluated once. Where the lake copy can be read back as it
     was (``REREADABLE``, overwritten, unpartitioned), it is written first and
@@ -287,17 +318,27 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     with that first write.
 
     An empty batch touches neither the table nor the lake. Values that do not
-    fit the target are null in the stored row and counted (``on_reject="null"``),
-    moved with their row to ``reject_path`` (``"quarantine"``), or stop the
-    load before anything is changed (``"error"``).
+    fit the target stop the load before anything is changed
+    (``on_reject="error"``, the default), are moved with their row to
+    ``reject_path`` (``"quarantine"``), or are null in the stored row and counted
+    (``"null"``). Columns that the target lacks stop it too, unless
+    ``on_extra="drop"`` gives them up.
     """
     spec.check()
+    try:
+        return _ingest(spark, spec)
+    finally:
+        for name in (f"batch-{spec.batch_id}", f"latest-{spec.batch_id}"):
+            release(spark, name)
+
+
+def _ingest(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     raw = _raw(spark, spec)
     result = LoadResult(spec.batch_id, "none", 0, 0, 0)
     if raw.isEmpty():
         return _record(spark, spec, result)
 
-    shaped, may_reject, read_counts, written_counts = _shaped(spark, spec, raw)
+    shaped, report, may_reject, read_counts, written_counts = _shaped(spark, spec, raw)
     merges = spec.merge is not None
     inserts = not merges and blank_to_none(spec.table) is not None
     curates = bool(blank_to_none(spec.curated_folder) or blank_to_none(spec.curated_file))
@@ -310,8 +351,11 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
         and spec.curated_mode == "overwrite"
         and not column_list(spec.partition_by)
     )
+    # A table that has this batch already is not inserted into again; counts then
+    # have to come with another write.
     table_first = (
         unfiltered
+        and not _has_batch(spark, spec)
         and inserts
         and not curates
         and spec.table_mode in ("append", "overwrite")
@@ -321,11 +365,13 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
         )
     )
     if lake_first:
-        batch = shaped.drop(REJECTED)
+        batch = shaped.drop(report)
         path = _write_curated(spec, batch)
         batch = read_path(spark, path, _curated_format(spec), schema=batch.schema)
     elif table_first:
-        insert_table(shaped.drop(REJECTED), spec.table, spec.table_mode)
+        insert_table(
+            shaped.drop(report), spec.table, spec.table_mode, batch_id=spec.batch_id
+        )
         batch = None
     else:
         batch = stage(shaped, f"batch-{spec.batch_id}")
@@ -338,15 +384,15 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
             raise ValueError(
                 f"{result.reject_count} rows hold values that do not fit the target"
             )
-        batch.where(F.col(REJECTED).isNotNull()).write.mode("overwrite").parquet(
+        batch.where(quoted(report).isNotNull()).write.mode("overwrite").parquet(
             f"{spec.reject_path.rstrip('/')}/batch_id={spec.batch_id}"
         )
-        batch = batch.where(F.col(REJECTED).isNull())
+        batch = batch.where(quoted(report).isNull())
         result.transform_count -= result.reject_count
         if not result.transform_count:
             return _record(spark, spec, result)
     if batch is not None and not lake_first:
-        batch = batch.drop(REJECTED)
+        batch = batch.drop(report)
 
     if merges:
         result.operation = f"upsert {spec.merge}"
@@ -354,10 +400,14 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     elif inserts:
         result.operation = f"insert {spec.table_mode}"
         result.rows_out = result.transform_count
-        if not table_first:
-            insert_table(
-                batch, spec.table, spec.table_mode, partition_by=spec.partition_by
-            )
+        if not table_first and not insert_table(
+            batch,
+            spec.table,
+            spec.table_mode,
+            partition_by=spec.partition_by,
+            batch_id=spec.batch_id,
+        ):
+            result.rows_out = 0
     elif curates:
         result.operation = f"write {spec.curated_mode}"
     if curates and not lake_first:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -10,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from lakeweir.operators.names import strip_column_spaces
 from lakeweir.plans.batch import LoadResult
@@ -42,7 +45,7 @@ class StreamSpec:
     infer_types: bool | None = None
     header: bool = True
     sep: str | None = None
-    max_files: int | None = None
+    max_files: int | None = 1000
     corrupt_column: str | None = None
     options: Mapping[str, str] | None = None
     sink_format: str = "parquet"
@@ -71,16 +74,34 @@ def _sync_table(spark: SparkSession, spec: StreamSpec, schema: T.StructType) ->
     spark.catalog.refreshTable(spec.table)
 
 
+class _RowsRead(StreamingQueryListener):
+    """A running total of the rows of one run, whatever the number of its increments."""
+
+    def __init__(self):
+        self.rows, self.ended = Counter(), threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
+
+
 @contextmanager
-def _all_progress_kept(spark: SparkSession):
-    """Spark forgets all but the last hundred increments of a run by default."""
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "1000000")
+def _rows_read(spark: SparkSession):
+    """Counts while streams run; events come in order, so the end is the last of them."""
+    listener = _RowsRead()
+    spark.streams.addListener(listener)
     try:
-        yield
+        yield listener
     finally:
-        spark.conf.set(key, before)
+        spark.streams.removeListener(listener)
 
 
 def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
@@ -128,9 +149,10 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
             fmt=fmt,
             totals=totals,
         )
-    with _all_progress_kept(spark):
+    with _rows_read(spark) as listener:
         query = append_stream(stream, spec.path, spec.checkpoint, on_batch, fmt=fmt)
-    loaded = sum(progress["numInputRows"] for progress in query.recentProgress)
+        listener.ended.wait(60)
+        loaded = listener.rows[str(query.runId)]
     rejected = 0
     if on_batch is not None:
         loaded = sum(rows for rows, _ in totals.values())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
 DEFAULT_FORMAT = "parquet"
 
+# Spark's save modes.
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 
@@ -30,13 +30,12 @@ def check_mode(mode: str | None) -> str:
 
 
 def available_format(spark: SparkSession, fmt: str) -> str:
-    """``delta`` where the session is set up for it, else Parquet in its place."""
+    """The format, unless it is ``delta`` and the session is not set up for that."""
     if fmt != "delta":
         return fmt
     if "delta" in spark.conf.get("spark.sql.extensions", "").lower():
         return fmt
-    warnings.warn("this session has no Delta support; using parquet instead", stacklevel=3)
-    return "parquet"
+    raise ValueError("this session has no Delta support; name another format")
 
 
 def read_path(
@@ -66,6 +65,9 @@ def read_path(
         reader = reader.option("recursiveFileLookup", True)
     if fmt == "csv":
         reader = reader.option("header", header).option("multiLine", multiline)
+        if header:
+            # Spark reads CSV columns by position: refuse a file whose header names others.
+            reader = reader.option("enforceSchema", False)
         if schema is None:
             reader = reader.option("inferSchema", True)
         if sep is not None:

@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data.
-
-    Only a local session without one gets a temporary folder; on a cluster a
-    folder of one machine would be lost with it.
-    """
+    """The folder the cluster names for intermediate data, else one in the warehouse."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="lakeweir-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -37,6 +25,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, name: str) -> None:
+    """Free the folder that ``stage`` made under a name, once nothing reads it."""
+    path = f"{shared_dir(spark)}/lakeweir-stage/{name}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a frame and cut its plan, for long or iterative jobs."""
     spark = df.sparkSession

@@ -20,8 +20,8 @@ from lakeweir.sources.staging import stage
 
 STAGING_PREFIX = "STG_"  # fixed value: name of the view a post-load statement reads
 
-# Above this many touched partitions the list is not sent through the driver.
-PARTITION_LIST_LIMIT = 1000
+# Table property that names the batch a table got last.
+BATCH_PROPERTY = "lakeweir.batch"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -146,6 +146,28 @@ def is_current_version(spark: SparkSession, table: str, batch_id: str) -> bool:
     return table_location(spark, table).rstrip("/").endswith(f"/v={batch_id}")
 
 
+def _holds(spark: SparkSession, table: str, path: str) -> bool:
+    """Whether a path is inside the folder of a managed table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    told = {r["col_name"]: r["data_type"] for r in rows}
+    plain = lambda p: p.removeprefix("file:").rstrip("/").replace("///", "/") + "/"
+    return told.get("Type") == "MANAGED" and plain(path).startswith(plain(told["Location"]))
+
+
+def last_batch(spark: SparkSession, table: str) -> str | None:
+    """The batch that was last inserted into a table or replaced partitions of it."""
+    row = spark.sql(f"SHOW TBLPROPERTIES {table} ('{BATCH_PROPERTY}')").first()
+    # Spark answers in a sentence where the property is not set.
+    return row["value"] if row and " does not have property" not in row["value"] else None
+
+
+def mark_batch(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Keep with the table which batch it has, so that a repeated load can tell."""
+    spark.sql(
+        f"ALTER TABLE {table} SET TBLPROPERTIES ('{BATCH_PROPERTY}' = {_literal(batch_id)})"
+    )
+
+
 def staging_view_name(table: str) -> str:
     """The prefix goes to the last name part: views carry no schema."""
     return STAGING_PREFIX + table.rsplit(".", 1)[-1]
@@ -187,8 +209,9 @@ def insert_table(
     cluster_by: str | list[str] | None = None,
     max_len: int = MAX_STRING_LENGTH,
     partition_by: str | list[str] | None = None,
-) -> None:
-    """Insert a batch into a table.
+    batch_id: str | None = None,
+) -> bool:
+    """Insert a batch into a table; returns whether the table now has it from this call.
 
     ``overwrite`` replaces the rows in one write and keeps the declared
     columns, bounded strings included. ``ignore`` leaves an existing table
@@ -197,15 +220,19 @@ def insert_table(
     ``post_sql`` the batch is not inserted but staged, and the statements move
     it on from the view ``STG_<table>``. Each hook is one statement or a list.
 
-    A batch that reads the table it overwrites is refused by Spark; merge
-    results go through ``publish``.
+    A table remembers the ``batch_id`` it got last: the same one again, as when a
+    failed load is repeated, inserts nothing and returns true. A batch that reads
+    the table it overwrites is refused by Spark; merge results go through
+    ``publish``.
     """
     check_mode(mode)
     spark = df.sparkSession
     pre, post = _statements(pre_sql), _statements(post_sql)
     exists = spark.catalog.tableExists(table)
+    if exists and batch_id is not None and last_batch(spark, table) == batch_id:
+        return True
     if exists and mode == "ignore":
-        return
+        return False
     if exists and mode in ("error", "errorifexists"):
         raise ValueError(f"table {table} already exists")
 
@@ -221,11 +248,14 @@ def insert_table(
                 spark.sql(statement)
         finally:
             spark.catalog.dropTempView(view)
-        return
+        return True
     if not spark.catalog.tableExists(table):
         sql = f"CREATE TABLE {table} ({table_columns_ddl(df.schema, max_len)}) USING parquet"
         spark.sql(sql + _partitioned_by(column_list(partition_by)))
     _insert(df, table, overwrite=mode == "overwrite")
+    if batch_id is not None:
+        mark_batch(spark, table, batch_id)
+    return True
 
 
 def write_temp_table(
@@ -275,6 +305,9 @@ def publish(
     exists = spark.catalog.tableExists(table)
     if exists and is_current_version(spark, table, batch_id):
         raise ValueError(f"batch {batch_id} is the current version of {table}")
+    if exists and _holds(spark, table, path):
+        # Dropping a managed table deletes its folder, and a new version in it.
+        raise ValueError(f"{path} is inside the folder of the managed table {table}")
 
     counted = Observation()
     laid_out = hash_layout(df, partition_by) if partition_by else df
@@ -297,7 +330,7 @@ def publish(
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
     else:
         # The catalog keeps a location per partition, which moving the table
-        # would not change. The table is external, so dropping it keeps data.
+        # would not change. The new version is outside of what a drop deletes.
         if exists:
             drop_table(spark, table)
         register_table(
@@ -323,30 +356,30 @@ def retire_version(spark: SparkSession, table: str, root: str, batch_id: str) ->
 def touched_partitions(target: DataFrame, batch: DataFrame, columns: str | list[str]) -> DataFrame:
     """Target rows in partitions that the batch also has rows in.
 
-    A short list of partition values becomes a filter that prunes the scan. A
-    longer one stays on the executors as a semi-join.
+    The range of the batch's values in each column becomes a filter that prunes
+    the scan, whatever their number; a semi-join on the executors then leaves
+    only the partitions themselves.
     """
     columns = column_list(columns)
     values = batch.select(*[quoted(c) for c in columns]).distinct()
-    few = values.limit(PARTITION_LIST_LIMIT + 1).collect()
-    if len(few) > PARTITION_LIST_LIMIT:
-        same = reduce(
-            lambda a, b: a & b,
-            [quoted(c, "rows").eqNullSafe(quoted(c, "parts")) for c in columns],
-        )
-        return target.alias("rows").join(values.alias("parts"), same, "left_semi")
-    if not few:
-        return target.where(F.lit(False))
-    if len(columns) == 1 and all(row[0] is not None for row in few):
-        return target.where(quoted(columns[0]).isin([row[0] for row in few]))
-    anyone = [
-        reduce(
-            lambda a, b: a & b,
-            [quoted(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row, strict=True)],
-        )
-        for row in few
-    ]
-    return target.where(reduce(lambda a, b: a | b, anyone))
+    bounds = values.agg(
+        *[F.min(quoted(c)).alias(f"low{i}") for i, c in enumerate(columns)],
+        *[F.max(quoted(c)).alias(f"high{i}") for i, c in enumerate(columns)],
+        *[
+            F.coalesce(F.bool_or(quoted(c).isNull()), F.lit(False)).alias(f"null{i}")
+            for i, c in enumerate(columns)
+        ],
+    ).first()
+    for i, c in enumerate(columns):
+        inside = F.lit(False)
+        if bounds[f"low{i}"] is not None:
+            inside = quoted(c).between(F.lit(bounds[f"low{i}"]), F.lit(bounds[f"high{i}"]))
+        target = target.where(inside | quoted(c).isNull() if bounds[f"null{i}"] else inside)
+    same = reduce(
+        lambda a, b: a & b,
+        [quoted(c, "rows").eqNullSafe(quoted(c, "parts")) for c in columns],
+    )
+    return target.alias("rows").join(values.alias("parts"), same, "left_semi")
 
 
 def replace_partitions(df: DataFrame, table: str) -> int:

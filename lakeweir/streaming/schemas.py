@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeweir.functions.columns import quoted
 from lakeweir.sources.files import read_path
 
 
 def save_schema(
-    spark: SparkSession, schema_path: str, schema: T.StructType, seen_until: str | None = None
+    spark: SparkSession, schema_path: str, schema: T.StructType, seen_until: int | None = None
 ) -> None:
     """Store a schema as JSON text, with the newest file time it covers.
 
@@ -48,19 +49,17 @@ def load_schema(spark: SparkSession, schema_path: str) -> T.StructType | None:
     return None if stored is None else T.StructType.fromJson(stored["schema"])
 
 
-def _newest_file_time(spark: SparkSession, path: str, recursive: bool) -> str | None:
-    """Latest modification time under ``path``; lists files without reading them."""
+def _newest_file_time(spark: SparkSession, path: str, recursive: bool) -> int | None:
+    """Latest modification time under ``path`` in epoch milliseconds; reads no file."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    newest = reader.load(path).agg(
-        F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("at"),
-    )
+    newest = reader.load(path).agg(F.unix_millis(F.max("modificationTime")).alias("at"))
     return newest.collect()[0]["at"]
 
 
-def _just_before(moment: str) -> str:
-    """One millisecond earlier: another file may carry the newest time as well."""
-    earlier = dt.datetime.fromisoformat(moment) - dt.timedelta(milliseconds=1)
-    return earlier.isoformat(timespec="milliseconds")
+def _just_before(moment: int) -> str:
+    """One millisecond earlier, in UTC: another file may carry the newest time as well."""
+    earlier = dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(milliseconds=moment - 1)
+    return earlier.replace(tzinfo=None).isoformat(timespec="milliseconds")
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -74,15 +73,90 @@ def _as_text(schema: T.StructType) -> T.StructType:
     )
 
 
+# For each number type, those whose every value it can hold.
+_HOLDS = {
+    "smallint": {"tinyint"},
+    "int": {"tinyint", "smallint"},
+    "bigint": {"tinyint", "smallint", "int"},
+    "double": {"tinyint", "smallint", "int", "float"},
+    "timestamp": {"date"},
+}
+
+
+def _merged(stored: T.DataType, fresh: T.DataType, where: str) -> T.DataType:
+    if isinstance(stored, T.StructType) and isinstance(fresh, T.StructType):
+        known = {f.name.lower() for f in stored.fields}
+        new = {f.name.lower(): f.dataType for f in fresh.fields}
+        kept = [
+            T.StructField(
+                f.name,
+                _merged(f.dataType, new.get(f.name.lower(), f.dataType), f"{where}.{f.name}"),
+                f.nullable,
+            )
+            for f in stored.fields
+        ]
+        added = [
+            T.StructField(f.name, f.dataType, True)
+            for f in fresh.fields
+            if f.name.lower() not in known
+        ]
+        return T.StructType([*kept, *added])
+    if isinstance(stored, T.ArrayType) and isinstance(fresh, T.ArrayType):
+        inner = _merged(stored.elementType, fresh.elementType, where)
+        return T.ArrayType(inner, stored.containsNull)
+    old, new = stored.simpleString(), fresh.simpleString()
+    # Text holds anything; a column without a value so far is inferred as void or text.
+    if old == new or old == "string" or new in ("void", *_HOLDS.get(old, ())):
+        return stored
+    if new == "string" and isinstance(fresh, T.StringType) and old == "void":
+        return fresh
+    raise ValueError(
+        f"new files bring {new} in {where.lstrip('.')}, which is stored as {old} and would read "
+        "as null; store a wider schema, or validate against a target_schema"
+    )
+
+
 def merge_schemas(stored: T.StructType, fresh: T.StructType) -> T.StructType:
-    """Stored columns unchanged, then new ones as nullable columns."""
-    known = {f.name.lower() for f in stored.fields}
-    added = [
-        T.StructField(f.name, f.dataType, True)
-        for f in fresh.fields
-        if f.name.lower() not in known
+    """Stored columns with their types, then new ones as nullable columns.
+
+    Structs gain new fields in the same way, at every depth. New files with
+    values that a stored type cannot hold are refused: files that are written
+    already keep theirs.
+    """
+    return _merged(stored, fresh, "")
+
+
+def _without_blanks(files: DataFrame, known: T.StructType) -> T.StructType:
+    """The schema of new files, with the stored type for text in which every value has it.
+
+    A column without values is inferred as text, as is one with values of a
+    stored kind that inference does not look for.
+    """
+    stored = {f.name.lower(): f.dataType for f in known.fields}
+    nested = (T.StructType, T.ArrayType, T.MapType, T.StringType)
+    doubtful = [
+        f.name
+        for f in files.schema.fields
+        if isinstance(f.dataType, T.StringType)
+        and not isinstance(stored.get(f.name.lower(), T.StringType()), nested)
     ]
-    return T.StructType([*stored.fields, *added])
+    if not doubtful:
+        return files.schema
+    bad = files.agg(
+        *[
+            F.count_if(
+                quoted(c).isNotNull() & quoted(c).try_cast(stored[c.lower()]).isNull()
+            ).alias(f"bad{i}")
+            for i, c in enumerate(doubtful)
+        ]
+    ).first()
+    fits = {c for i, c in enumerate(doubtful) if not bad[i]}
+    return T.StructType(
+        [
+            T.StructField(f.name, stored[f.name.lower()], True) if f.name in fits else f
+            for f in files.schema.fields
+        ]
+    )
 
 
 def evolve_schema(
@@ -134,8 +208,9 @@ def evolve_schema(
     seen = stored["seen_until"]
     if newest is None or (seen is not None and newest < seen):
         return known
-    recent = {} if seen is None else {"modifiedAfter": _just_before(seen)}
-    fresh = infer(recent).schema
+    recent = {} if seen is None else {"modifiedAfter": _just_before(seen), "timeZone": "UTC"}
+    new_files = infer(recent)
+    fresh = _without_blanks(new_files, known)
     merged = merge_schemas(known, fresh if infer_types else _as_text(fresh))
     if merged != known or newest != seen:
         save_schema(spark, schema_path, merged, newest)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +16,7 @@ from lakeweir.operators.align import REJECTED, align_with_report
 from lakeweir.operators.dedupe import drop_duplicate_rows
 from lakeweir.operators.names import strip_column_spaces
 from lakeweir.sources.history import record_load
+from lakeweir.sources.staging import release, stage
 from lakeweir.streaming.schemas import evolve_schema
 
 
@@ -30,7 +32,7 @@ def file_stream(
     infer_types: bool = True,
     header: bool = True,
     sep: str | None = None,
-    max_files: int | None = None,
+    max_files: int | None = 1000,
     corrupt_column: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -38,7 +40,7 @@ def file_stream(
 
     The schema is given, or inferred and kept at ``schema_path``. Directories
     that are not ``column=value`` are only entered with ``recursive``.
-    ``max_files`` bounds one increment, so a large backlog commits in steps
+    ``max_files`` bounds one increment (None: no bound), so a large backlog commits in steps
     instead of one job that starts over when it fails. CSV and JSON records
     that do not fit the schema lose the values in question; with
     ``corrupt_column`` their whole text is kept in that column.
@@ -70,6 +72,9 @@ def file_stream(
         reader = reader.option("multiLine", multiline)
     if fmt == "csv":
         reader = reader.option("header", header)
+        if header:
+            # Columns are read by position: refuse a file whose header names others.
+            reader = reader.option("enforceSchema", False)
         sep = blank_to_none(sep)
         if sep is not None:
             reader = reader.option("sep", sep)
@@ -123,12 +128,12 @@ def validated_append(
 ) -> Callable[[DataFrame, int], None]:
     """An ``on_batch`` for ``append_stream`` that checks each increment.
 
-    Rows that fit ``target`` go to ``<path>/batch_id=<n>``, others with a
-    report of the misfit values to ``<reject_path>/batch_id=<n>``; without a
-    reject path an increment with misfits fails. Each directory belongs to one
-    increment and is overwritten, so a replay leaves no second copy. Empty
-    increments write nothing. ``totals`` receives ``(rows, rejected)`` per
-    increment.
+    Rows that fit ``target`` go to ``<path>/stream=<id>/batch_id=<n>``, others
+    with a report of the misfit values to the same folder below ``reject_path``;
+    without a reject path an increment with misfits fails. The id is the one
+    that Spark keeps in the checkpoint: streams into one path keep apart, and a
+    replay overwrites its own directory and history row. Empty increments write
+    nothing. ``totals`` receives ``(rows, rejected)`` per increment.
     """
 
     def on_batch(increment: DataFrame, batch_id: int) -> None:
@@ -136,11 +141,15 @@ def validated_append(
         if dedupe:
             aligned = drop_duplicate_rows(aligned)
         # One evaluation of the source files serves the counts and both writes.
-        aligned = aligned.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = increment.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or load_id
+        staged, seen = f"increment-{uuid.uuid4().hex}", Observation()
+        aligned = aligned.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECTED)).alias("rejected")
+        )
         try:
-            counts = aligned.agg(
-                F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECTED)).alias("rejected")
-            ).collect()[0]
+            aligned = stage(aligned, staged)
+            counts = seen.get
             if counts["rejected"] and reject_path is None:
                 raise ValueError(
                     f"increment {batch_id}: {counts['rejected']} rows do not fit the target "
@@ -149,7 +158,7 @@ def validated_append(
             good = counts["rows"] - counts["rejected"]
             if totals is not None:
                 totals[batch_id] = (counts["rows"], counts["rejected"])
-            place = f"batch_id={batch_id}"
+            place = f"stream={stream}/batch_id={batch_id}"
             if good:
                 aligned.where(F.col(REJECTED).isNull()).drop(REJECTED).write.mode(
                     "overwrite"
@@ -160,9 +169,9 @@ def validated_append(
                 )
             if history_root is not None:
                 record_load(
-                    increment.sparkSession,
+                    spark,
                     history_root,
-                    f"{load_id}-{batch_id}",
+                    f"{stream}-{batch_id}",
                     "stream append",
                     path,
                     source_count=counts["rows"],
@@ -171,7 +180,7 @@ def validated_append(
                     rows_out=good,
                 )
         finally:
-            aligned.unpersist()
+            release(spark, staged)
 
     return on_batch
 

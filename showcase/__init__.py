@@ -1,6 +1,6 @@
 """Queries that run every operator over the test tables, with their SQL."""
 
-from showcase import files, loads, merges, shaping, streams, tables
+from showcase import files, loads, merges, repairs, shaping, streams, tables
 
 ENTRIES = {
     **merges.ENTRIES,
@@ -9,4 +9,5 @@ ENTRIES = {
     **tables.ENTRIES,
     **streams.ENTRIES,
     **loads.ENTRIES,
+    **repairs.ENTRIES,
 }

@@ -146,13 +146,18 @@ def test_duplicates_can_stay(spark, zones):
     assert "ReadSchema: struct<id:int>" in plan and "Exchange" not in plan
 
 
-def test_missing_delta_falls_back_to_parquet(spark, zones, tmp_path):
-    with pytest.warns(UserWarning, match="no Delta support"):
+def test_missing_delta_is_refused(spark, zones):
+    with pytest.raises(ValueError, match="no Delta support"):
         lw.write_dataset(sample(spark), zones, "curated1", "c", "f", fmt="delta")
-    assert glob.glob(f"{tmp_path}/curated1/c/f/*.parquet")
-    with pytest.warns(UserWarning, match="no Delta support"):
-        back = lw.read_dataset(spark, zones, "curated1", "c", "f", fmt="delta")
-    assert rows(back) == DISTINCT
+    with pytest.raises(ValueError, match="no Delta support"):
+        lw.read_dataset(spark, zones, "curated1", "c", "f", fmt="delta")
+
+
+def test_files_with_columns_in_another_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,qty\n1,2\n")
+    (tmp_path / "b.csv").write_text("qty,id\n20,10\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        lw.read_path(spark, str(tmp_path), "csv").collect()
 
 
 def test_other_formats_go_by_name(spark, zones):

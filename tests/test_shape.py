@@ -132,6 +132,25 @@ def test_alignment_orders_widens_and_fills(spark):
     assert rejects.count() == 0
 
 
+def test_fields_align_by_name_and_misfits_inside_are_reported(spark):
+    df = spark.sql(
+        "SELECT named_struct('a', 1, 'b', 2) s, array('1', 'x') l, map('k', '7') m, 2.7D d, "
+        "timestamp'2024-01-02 03:04:05' t UNION ALL "
+        "SELECT named_struct('a', 3, 'b', 4), array('5', null), map('k', 'y'), 2.0D, "
+        "timestamp'2024-01-02 00:00:00'"
+    )
+    target = T.StructType.fromDDL(
+        "s struct<b:int,a:int,c:string>, l array<int>, m map<string,int>, d bigint, t date"
+    )
+    got = lw.align_schema(df, target)[1].orderBy(F.col("s.a").desc()).collect()
+    assert [r["s"].asDict() for r in got] == [
+        {"b": 4, "a": 3, "c": None},
+        {"b": 2, "a": 1, "c": None},
+    ]
+    assert [{v["column"] for v in r["rejected_values"]} for r in got] == [{"m"}, {"l", "d", "t"}]
+    assert lw.align_schema(df.select("d", "t"), target, truncate=True)[0].count() == 2
+
+
 def test_every_row_is_accepted_or_rejected_with_the_reason(spark):
     df = spark.createDataFrame(
         [("a", "1", "2"), ("b", "one", "2"), ("c", "x", "y"), ("d", None, "")],

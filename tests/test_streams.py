@@ -53,13 +53,58 @@ def test_new_columns_join_between_runs(spark, tmp_path):
     assert rows(out(spark, tmp_path)) == {(1, None): 1, (2, "y"): 1}
 
 
-def test_stored_types_win_over_later_guesses(spark, tmp_path):
+def test_values_that_a_stored_type_cannot_hold_are_refused(spark, tmp_path):
     drop(tmp_path, "a.json", {"id": 1})
     run(spark, tmp_path)
     drop(tmp_path, "b.json", {"id": 2.5, "x": True})
+    with pytest.raises(ValueError, match="double in id, which is stored as bigint"):
+        run(spark, tmp_path)
+    assert rows(out(spark, tmp_path)) == {(1,): 1}
+
+
+def test_narrower_and_blank_columns_keep_the_stored_type(spark, tmp_path):
+    drop(tmp_path, "a.json", {"id": 1.5, "n": 1})
+    run(spark, tmp_path)
+    drop(tmp_path, "b.json", {"id": 2, "n": None})
+    run(spark, tmp_path)
+    assert lw.load_schema(spark, f"{tmp_path}/schema").simpleString() == "struct<id:double,n:bigint>"
+    assert rows(out(spark, tmp_path)) == {(1.5, 1): 1, (2.0, None): 1}
+
+
+def test_structs_gain_fields(spark, tmp_path):
+    drop(tmp_path, "a.json", {"s": {"a": 1}})
+    run(spark, tmp_path)
+    drop(tmp_path, "b.json", {"s": {"a": 2, "b": "x"}})
     run(spark, tmp_path)
     schema = lw.load_schema(spark, f"{tmp_path}/schema")
-    assert schema.simpleString() == "struct<id:bigint,x:boolean>"
+    assert schema.simpleString() == "struct<s:struct<a:bigint,b:string>>"
+    got = spark.read.schema(schema).parquet(f"{tmp_path}/out").select("s.a", "s.b")
+    assert rows(got) == {(1, None): 1, (2, "x"): 1}
+
+
+def test_a_restart_in_another_zone_finds_new_columns(spark, tmp_path, conf):
+    conf("spark.sql.session.timeZone", "Asia/Tokyo")
+    drop(tmp_path, "a.json", {"id": 1})
+    run(spark, tmp_path)
+    conf("spark.sql.session.timeZone", "America/Los_Angeles")
+    drop(tmp_path, "b.json", {"id": 2, "w": 3})
+    run(spark, tmp_path)
+    assert lw.load_schema(spark, f"{tmp_path}/schema").names == ["id", "w"]
+
+
+def test_streams_into_one_path_keep_apart(spark, tmp_path):
+    drop(tmp_path, "a.csv", {"id": 1, "v": 2}, fmt="csv")
+    lw.ingest_stream(spark, spec(tmp_path))
+    lw.ingest_stream(spark, spec(tmp_path, checkpoint=f"{tmp_path}/other"))
+    assert rows(lw.read_increments(spark, f"{tmp_path}/out", TARGET)) == {(1, 2): 2}
+
+
+def test_counts_outlast_the_progress_that_spark_keeps(spark, tmp_path, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "1")
+    for i in range(4):
+        drop(tmp_path, f"{i}.csv", {"id": i, "v": 2}, fmt="csv")
+    plain = spec(tmp_path, target_schema=None, schema="id int, v int", max_files=1)
+    assert lw.ingest_stream(spark, plain).source_count == 4
 
 
 def test_later_runs_infer_from_new_files_only(spark, tmp_path):
@@ -165,15 +210,15 @@ TARGET = T.StructType(
 
 
 def spec(tmp_path, **more):
-    return lw.StreamSpec(
-        source=f"{tmp_path}/in",
-        fmt="csv",
-        path=f"{tmp_path}/out",
-        checkpoint=f"{tmp_path}/checkpoint",
-        schema_path=f"{tmp_path}/schema",
-        target_schema=TARGET,
-        **more,
-    )
+    settings = {
+        "source": f"{tmp_path}/in",
+        "fmt": "csv",
+        "path": f"{tmp_path}/out",
+        "checkpoint": f"{tmp_path}/checkpoint",
+        "schema_path": f"{tmp_path}/schema",
+        "target_schema": TARGET,
+    }
+    return lw.StreamSpec(**(settings | more))
 
 
 def test_increments_are_split_into_good_and_bad(spark, schema, tmp_path):
@@ -197,7 +242,9 @@ def test_increments_are_split_into_good_and_bad(spark, schema, tmp_path):
     (bad,) = spark.read.parquet(f"{tmp_path}/bad").collect()
     assert bad["id"] == 2 and bad["rejected_values"][0]["value"] == "two"
     history = lw.load_history(spark, f"{tmp_path}/history")
-    assert rows(history.select("load_id", "rows_out")) == {("one-0", 1): 1, ("two-1", 1): 1}
+    (folder,) = glob.glob(f"{tmp_path}/out/stream=*")
+    stream = folder.rsplit("=", 1)[1]
+    assert rows(history.select("load_id", "rows_out")) == {(f"{stream}-0", 1): 1, (f"{stream}-1", 1): 1}
 
 
 def test_bad_rows_without_a_place_stop_the_load(spark, tmp_path):
@@ -214,7 +261,7 @@ def test_a_replayed_increment_leaves_one_copy(spark, tmp_path):
         write(batch, 7)
     write(batch.limit(0), 8)
     assert rows(lw.read_increments(spark, f"{tmp_path}/out", TARGET)) == {(1, 2): 1}
-    assert glob.glob(f"{tmp_path}/out/*") == [f"{tmp_path}/out/batch_id=7"]
+    assert glob.glob(f"{tmp_path}/out/*/*") == [f"{tmp_path}/out/stream=stream/batch_id=7"]
 
 
 def test_stream_load_registers_a_growing_table(spark, schema, tmp_path):
