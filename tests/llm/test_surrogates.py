@@ -1,0 +1,72 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeweir.llm.surrogates import assign, with_surrogates
+
+TEXTS = [
+    "Mail und.34@mail7.example.com and UND.34@MAIL7.example.com or x@mail7.example.com now", "call +1 (017) 555-7713 or +1 017 555 7713.",
+    "ip 97.51.17.173, card 4516744854574821 and 4111 1111 1111 1111", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ok',
+    "Dear Mr. John Smith and Mrs. Anna Smith, Mr Smith said. Herr Müller, Frau Петрова", "DE89 3704 0044 0532 0130 00 iban, ssn 123-45-6789",
+    "clean text of 12 things in 2024 at 10:30", None, "", "fe80:0:0:0:1:2:3:4", "again 4516744854574821", "г-жа Петрова и г-н Иванов",
+]
+
+
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10
+
+
+@pytest.fixture
+def out(frame):
+    return {r["doc_id"]: r for r in with_surrogates(frame(list(enumerate(TEXTS))), "k").collect()}
+
+
+def test_nothing_of_the_entities_is_left(out):
+    for secret in "und.34 mail7 555-7713 97.51.17.173 4516744854574821 04dbebab John Anna Smith Müller Петрова Иванов 0532 123-45-6789".split():
+        assert not any(secret.lower() in (r["text"] or "").lower() for r in out.values()), secret
+
+
+def test_clean_texts_stay(out):
+    assert [out[i]["text"] for i in (6, 7, 8)] == TEXTS[6:9] and all(out[i]["n_entities"] == 0 for i in (6, 7, 8))
+
+
+def test_forms_and_checks_are_kept(out):
+    a, b, c = re.findall(r"\S+@\S+", out[0]["text"])
+    assert a.lower() == b.lower() and a.split("@")[1] == c.split("@")[1] and a != c and a.endswith(".example")
+    one, two = re.findall(r"\+1 \(?(\d{3})\)? (\d{3})[- ](\d{4})", out[1]["text"])
+    assert one == two
+    cards = re.findall(r"\d{16}|\d{4} \d{4} \d{4} \d{4}", out[2]["text"])
+    assert [luhn(x.replace(" ", "")) for x in cards] == [luhn("4516744854574821"), luhn("4111111111111111")]
+    assert re.search(r'"[0-9a-f]{40}"', out[3]["text"]) and cards[0] in out[10]["text"]
+    assert all(0 <= int(x) < 256 for x in re.search(r"ip ([\d.]+),", out[2]["text"])[1].split("."))
+    iban = re.search(r"DE\d\d(?: \d{4}){4} \d\d", out[5]["text"])[0].replace(" ", "")
+    assert int("".join(str(int(ch, 36)) for ch in iban[4:] + iban[:4])) % 97 == 1
+
+
+def test_names_keep_gender_script_and_coreference(out):
+    mr, mrs, again = re.search(r"Mr\. (\w+ \w+) and Mrs\. (\w+ \w+), Mr (\w+) said", out[4]["text"]).groups()
+    assert mr.split()[1] == mrs.split()[1] == again and mr.split()[0] != mrs.split()[0]
+    assert mr.split()[0].endswith("o") and mrs.split()[0].endswith("a")
+    petrova = re.search(r"Frau (\w+)$", out[4]["text"])[1]
+    assert re.fullmatch("[а-яА-Я]+", petrova) and petrova in out[11]["text"]
+
+
+def test_different_entities_stay_different(spark):
+    # Three digits, the first from 1 to 8: most of the 700 draws meet others or real ones.
+    ids = spark.range(100).union(spark.range(900, 1000)).select(F.lit("ssn").alias("type"), F.lpad(F.col("id").cast("string"), 3, "0").alias("canon"))
+    rows = assign(ids, "k").collect()
+    given = {r["surrogate"] for r in rows}
+    assert len(given) == len(rows) == 200 and not given & {r["canon"] for r in rows}
+
+
+def test_another_key_gives_others(frame):
+    docs = frame([(1, TEXTS[0])])
+    text = lambda key: with_surrogates(docs, key).first()["text"]
+    assert text("a") == text("a") != text("b")
+
+
+def test_awkward_rows(awkward, frame):
+    rows = with_surrogates(awkward, "k").collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in rows) == sorted(str((r["doc_id"], r["text"])) for r in awkward.collect())
+    assert with_surrogates(frame([]), "k").collect() == []
