@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 
 #: Bytes of text that numpy works on at a time inside a task.
 SLICE_BYTES = 1 << 20
+#: Bits of the map that sorts out rows which a join would drop.
+MAP_BITS = 1 << 24
 
 
 #: The folder that holds the package.
@@ -121,6 +123,31 @@ def in_block_pairs(df: DataFrame, member: str, blocks: Column) -> DataFrame:
     )
 
 
+def sifted(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows of ``df`` whose key falls on a bit that a wanted key sets.
+
+    A join that follows then moves about the rows it keeps. The map of bits has
+    a fixed size, so every task can hold it: no wanted row is lost, others stay
+    by chance, the more of them the fuller the map. Rows with a null key stay
+    where a wanted key is null.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({wanted_key}), {MAP_BITS}) % 32 AS INT))")
+    words = wanted.groupBy(F.shiftright(place(wanted_key), 5).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found = words.toArrow()
+    bits = np.zeros(MAP_BITS // 32, np.uint32)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def keep(batches):
+        for batch in batches:
+            at = batch.column("__place").to_numpy()
+            on = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1
+            yield batch.filter(pa.array(on.astype(bool))).drop_columns(["__place"])
+
+    return df.withColumn("__place", place(key)).mapInArrow(keep, df.schema)
+
+
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Each row's place, from 0, in the order of the whole frame.
 

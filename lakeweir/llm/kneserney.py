@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import saved, text_slices
+from lakeweir.llm.common import saved, sifted, text_slices
 
 #: The longest n-gram, and characters of text in a chunk.
 ORDER = 4
@@ -221,7 +221,9 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE)
     """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     apart = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(HELD_BACK)) == 0
-    model = KneserNey.train(docs.select("doc_id", "text").join(good.where(~apart), "doc_id", "left_semi"))
+    learned = good.where(~apart)
+    likely = sifted(docs.select("doc_id", "text"), "doc_id", learned, "doc_id")
+    model = KneserNey.train(likely.join(learned, "doc_id", "left_semi"))
     scored = saved(with_perplexity(docs, model), "perplexity")
     step = F.ceil(F.col("log_perplexity") * STEPS).cast("long")
     marked = scored.join(good.where(apart), "doc_id", "left_semi").where("log_perplexity IS NOT NULL")

@@ -21,15 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import each_group, in_block_pairs, saved, text_slices
+from lakeweir.llm.common import each_group, in_block_pairs, saved, sifted, text_slices
 from lakeweir.llm.graph import components
 from lakeweir.llm.words import SPACE, grams, mix, words_of
 
 #: Members of a bucket in a block, and n-grams of a cluster in a block.
 BLOCK_MEMBERS = 4096
 BLOCK_GRAMS = 2_000_000
-#: Bits of the map that sorts out texts in no cluster before any is shuffled.
-MAP_BITS = 1 << 24
 #: Parts of a partition, and how many of them a signature leaves out.
 PARTS, LEFT_OUT = 2, 1
 SUBSETS = np.array(list(combinations(range(PARTS), PARTS - LEFT_OUT)))
@@ -267,30 +265,6 @@ class SimilarDocuments:
             .mapInArrow(lambda batches: each_group(batches, keys, compare), "u long, v long")
         )
 
-    def _likely(self, one_each: DataFrame) -> DataFrame:
-        """The documents whose text hash falls on a bit that one of ``one_each`` sets.
-
-        The map has a fixed size, so it can go to every task. A text that is
-        wanted is always kept; the join that follows drops those kept by chance.
-        """
-        bit = F.pmod(F.xxhash64("one_hash"), F.lit(MAP_BITS))
-        words = one_each.groupBy(F.shiftright(bit, 5).alias("word")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(one_hash), {MAP_BITS}) % 32 AS INT))")).alias("bits")
-        )
-        found = words.toArrow()
-        bits = np.zeros(MAP_BITS // 32, np.uint32)
-        bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-        shared = one_each.sparkSession.sparkContext.broadcast(bits)
-
-        def keep(batches):
-            for batch in batches:
-                at = batch.column("at").to_numpy()
-                on = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1
-                yield batch.filter(pa.array(on.astype(bool))).drop_columns(["at"])
-
-        marked = self.docs.withColumn("at", F.pmod(F.xxhash64("text_hash"), F.lit(MAP_BITS)))
-        return marked.mapInArrow(keep, self.docs.schema)
-
     def links(self, rows: DataFrame) -> DataFrame:
         """Verified links that connect all that is linked; fewer than all links where sets are many."""
         n, percent = self.n, self.percent
@@ -336,7 +310,7 @@ class SimilarDocuments:
         one_each = saved(one_each.select("set_key", "cluster", "one.*"), "clusters")
         sizes = one_each.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_GRAMS).alias("blocks"))
         one_each = one_each.join(sizes, "cluster").withColumnsRenamed({"doc_id": "one_id", "text_hash": "one_hash"})
-        texts = self._likely(one_each).join(one_each, (F.col("text_hash") == F.col("one_hash")) & F.col("doc_id").eqNullSafe(F.col("one_id")))
+        texts = sifted(self.docs, "text_hash", one_each, "one_hash").join(one_each, (F.col("text_hash") == F.col("one_hash")) & F.col("doc_id").eqNullSafe(F.col("one_id")))
         dealt = in_block_pairs(
             texts.select("cluster", "blocks", "set_key", "text").mapInArrow(to_sets, "cluster long, blocks long, set_key long, grams binary"),
             "set_key",

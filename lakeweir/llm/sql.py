@@ -7,7 +7,7 @@ WITH RECURSIVE words AS (
                                     '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), sets AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, greatest(2, len(w) - 2)), i -> array_to_string(w[i:i + 3], ' '))) AS s
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(2, len(w) - 2)), lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) AS s
   FROM words WHERE len(w) > 0
 ), one AS (SELECT min(doc_id) AS rep, list_sort(s) AS s FROM sets GROUP BY list_sort(s)),
 grams AS (SELECT rep, len(s) AS n, unnest(s) AS g FROM one),
@@ -16,12 +16,12 @@ links AS (
   WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
   GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
 ), reach AS (
-  SELECT u AS at, u AS root FROM links
-  UNION SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.at
-), roots AS (SELECT at, min(root) AS root FROM reach GROUP BY at)
+  SELECT u AS node, u AS root FROM links
+  UNION SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.node
+), roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(r.root, o.rep, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sets s ON s.doc_id = d.doc_id
-LEFT JOIN one o ON o.s = list_sort(s.s) LEFT JOIN roots r ON r.at = o.rep
+LEFT JOIN one o ON o.s = list_sort(s.s) LEFT JOIN roots r ON r.node = o.rep
 """
 
 #: Words of documents inside runs of ten consecutive benchmark words.
@@ -37,14 +37,14 @@ WITH doc_words AS (
 ), starts AS (
   SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM item_words WHERE len(w) > 0
 ), windows AS (
-  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS g FROM starts
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS g FROM starts
 ), lengths AS (SELECT DISTINCT n FROM windows),
 places AS (
   SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths WHERE len(w) >= n
 ), hits AS (
-  SELECT p.doc_id, p.i, p.n, s.item_id FROM places p JOIN windows s ON s.n = p.n AND s.g = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')
+  SELECT p.doc_id, p.i, p.n, s.item_id FROM places p JOIN windows s ON s.n = p.n AND s.g = array_to_string(list_slice(p.w, p.i, p.i + p.n - 1), ' ')
 ), words_hit AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
   FROM hits GROUP BY doc_id
