@@ -40,11 +40,14 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> D
     words, if fewer), and one without words by its characters. Null and empty
     texts have none. Each step is a column, so that none is computed twice.
     """
-    content = r"(?: ~[^ ]+)* [^~ ][^ ]*"
+    # Possessive: an anchor never is a content word, and runs of anchors can be long.
+    content = r"(?: ~[^ ]+)*+ [^~ ][^ ]*+"
     plain, marked, chains, words = (f"__{out}_{part}" for part in ("plain", "marked", "chains", "words"))
     none = F.array().cast("array<long>")
     df = df.withColumn(plain, F.concat(F.lit(" "), F.trim(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))), F.lit(" ")))
     df = df.withColumn(marked, F.regexp_replace(plain, f" (?=(?:{_anchor_words()}) )", " ~"))
+    # An anchor that follows itself has the same chain: one of them is enough.
+    df = df.withColumn(marked, F.regexp_replace(marked, r"( ~[^ ]++)(?:\1)++(?= )", "$1"))
     spots = F.regexp_extract_all(marked, F.lit(f"(?= (~[^ ]+{content * chain}) )"), F.lit(1))
     df = df.withColumn(chains, F.transform(spots, lambda s: F.xxhash64(F.regexp_replace(s, " ~[^ ]+", ""))))
     df = df.withColumn(words, F.when(F.size(chains) == 0, F.filter(F.split(plain, " "), lambda w: w != "")))

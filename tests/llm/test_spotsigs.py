@@ -60,5 +60,11 @@ def test_awkward_rows(awkward):
     assert all(r["n_chars"] == 0 and r["fingerprint"] == "" for r in got if r["doc_id"] in (2, 3))
 
 
+def test_long_runs_of_anchors(frame):
+    texts = ["the " * 30_000 + "old house stood", "of the " * 3_000 + "old house stood", "the old house stood"]
+    got = {r["doc_id"]: r for r in edited_fingerprints(frame(list(enumerate(texts)))).collect()}
+    assert got[0]["fingerprint"] == got[2]["fingerprint"] and len(got[1]["fingerprint"]) == 32
+
+
 def test_no_rows(frame):
     assert edited_fingerprints(frame([])).collect() == []
