@@ -65,8 +65,9 @@ def read_path(
         reader = reader.option("recursiveFileLookup", True)
     if fmt == "csv":
         reader = reader.option("header", header).option("multiLine", multiline)
-        if header:
-            # Spark reads CSV columns by position: refuse a file whose header names others.
+        if header and schema is None:
+            # Spark reads CSV columns by position: refuse a file whose header names
+            # others than the file that names were taken from.
             reader = reader.option("enforceSchema", False)
         if schema is None:
             reader = reader.option("inferSchema", True)

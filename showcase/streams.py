@@ -145,7 +145,7 @@ SELECT event_id, 'value' AS "column", 'n/a ' || event_type AS value FROM events
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _validated(spark, sf_dir)
     return lw.load_history(spark, f"{root}/history").select(
-        F.split_part("load_id", F.lit("-"), F.lit(1)).alias("run"),
+        F.concat(F.lit("run"), F.split_part("load_id", F.lit("-"), F.lit(-1))).alias("run"),
         "source_count",
         "transform_count",
         "reject_count",
