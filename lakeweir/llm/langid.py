@@ -208,9 +208,12 @@ def train(docs: DataFrame, learn: Column, per_language: int = FIT_PER_LANGUAGE)
     """
     known = docs.where(learn).where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     known = known.select("lang", "text", F.abs(F.xxhash64("doc_id", F.lit(3)) / float(1 << 63)).alias("draw"))
-    often = known.groupBy("lang").count()
-    # Enough to find the least hashes, without sorting all texts of a frequent language.
-    likely = known.join(often, "lang").where(F.col("draw") <= 1.5 * per_language / F.col("count") + 0.001)
+    often = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not often:
+        return Model()
+    # A part of each language that has its least hashes: texts of a frequent one are not sorted.
+    limits = F.create_map(*[F.lit(x) for code, n in often.items() for x in (code, 1.5 * per_language / n + 20 / n)])
+    likely = known.where(F.col("draw") <= F.element_at(limits, F.col("lang")))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.xxhash64("text")))
     sample = likely.withColumn("place", first).where(F.col("place") <= per_language).select("lang", "text")
     rows = sorted((r["lang"], bytes(r["counts"])) for r in sample.mapInArrow(_counted, "lang string, counts binary").toLocalIterator())
