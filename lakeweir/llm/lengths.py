@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import text_slices
+from lakeweir.llm.common import saved, text_slices
 from lakeweir.llm.tokens import ENCODE_BYTES, encoder
 
 #: Lengths that share a block; sums go over blocks first and then inside each.
@@ -37,7 +37,8 @@ def length_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["n_tokens", "n_docs"])
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(work, "n_tokens long, n_docs long")
-    return counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    # Written once: sums over lengths read it several times.
+    return saved(counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "lengths")
 
 
 def length_histogram(counts: DataFrame) -> DataFrame:
