@@ -126,9 +126,11 @@ def compress(ids: np.ndarray) -> Grammar:
             left = worse & ~beside
             at, rank = at[left], rank[left]
         at, rank = np.concatenate(chosen), np.concatenate(chosen_rank)
-        used, number = np.unique(rank, return_inverse=True)
+        used = np.flatnonzero(np.bincount(rank))
+        number = np.zeros(len(a), np.uint32)
+        number[used] = np.arange(len(used), dtype=np.uint32)
         seq = seq.copy()
-        seq[at] = next_symbol + number
+        seq[at] = next_symbol + number[rank]
         gone = np.zeros(len(seq), bool)
         gone[at + 1] = True
         shrunk = len(at) / len(seq)

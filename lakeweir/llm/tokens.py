@@ -8,6 +8,7 @@ then costs a few array operations. Other tokenizers get whole texts.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from array import array
 from pathlib import Path
@@ -19,7 +20,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words whose ids are kept; beyond it, the memory is emptied and filled anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 800_000
 #: Bytes of text that are encoded at a time: the more, the more words are the same.
 ENCODE_BYTES = 4 << 20
 
@@ -37,6 +38,10 @@ _BY_WORD = {
 _PLAIN = regex.compile(r"(?:[\x21-\x7e]|(?=[\p{L}\p{N}])[\u00c0-\u024f\u0370-\u03ff\u0400-\u04ff])+")
 
 
+#: Latin letters that are composed already and have one lower-case letter each.
+_LATIN = re.compile("[A-Za-z\u00c0-\u012f\u0131-\u024f]+")
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: printable bytes for themselves, the others from U+0100 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -71,7 +76,7 @@ class Encoder:
     def word(self, word: str) -> list[int]:
         """The ids of one word without white space."""
         core = word.rstrip(".,;:!?")
-        if core.isascii() and core.isalpha():
+        if core.isalpha() and (core.isascii() or _LATIN.fullmatch(core)):
             parts = [core.lower(), word[len(core) :]] if len(core) < len(word) else [core.lower()]
             if len(parts) == 2 and (known := self.place.get(parts[0])) is not None:
                 first, last = self.bounds[known], self.bounds[known + 1]
