@@ -21,6 +21,8 @@ from lakeweir.llm.queries import END_ID, WORD_BPE
 from lakeweir.llm.repair import token_files
 from lakeweir.llm.tokens import tokenizer_source
 
+#: Documents with this share of their runs of so many words in common, in percent, are near copies.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Language ID rejects what scores lower, beside texts without a letter.
 LEAST_LANGUAGE_SCORE = 0.25
 
@@ -42,7 +44,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows of one id and component, as repeated rows, leave one. Documents without
     words, and those with a null id, are in no group and stay.
     """
-    rows = similar_components(docs).where("doc_id IS NOT NULL AND n_shingles > 0")
+    rows = similar_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id IS NOT NULL AND n_shingles > 0")
     gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     twice = rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_id"))
     kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

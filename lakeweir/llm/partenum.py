@@ -110,7 +110,7 @@ def signatures(sets: GramSets, chosen: np.ndarray, percent: int) -> tuple[np.nda
     """
     bands = size_bands(percent, int(sets.sizes.max(initial=1)))
     band = np.searchsorted(bands, sets.sizes, side="right") - 1
-    least = 100 // (100 - percent)  # smaller sets link with equal ones only
+    least = -(-percent // (100 - percent))  # smaller sets link with equal ones only
     keep = chosen & (sets.sizes >= least)
     element_kept = keep[sets.owner]
     flat, owner = sets.flat[element_kept], sets.owner[element_kept]

@@ -1,5 +1,6 @@
 import random
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -126,3 +127,17 @@ def test_components_of_chains_and_stars(spark):
     got = {r["id"]: r["root"] for r in components(df, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
     assert components(df.where(F.lit(False)), "a", "b").collect() == []
+
+
+@pytest.mark.parametrize("percent, size", [(80, 5), (90, 10)])
+def test_smallest_sets_that_can_differ(frame, percent, size):
+    texts = [" ".join(f"g{g}w{i}" for i in range(k)) for g in range(40) for k in (size - 1, size)]
+    got = result(similar_components(frame(list(enumerate(texts))), n=1, percent=percent))
+    assert got == sorted(((i, size - 1 + i % 2, i - i % 2) for i in range(len(texts))), key=str)
+
+
+def test_five_words_at_eighty_percent(frame, monkeypatch):
+    rows = corpus(6, [(n, [0, 0, 1, 1, 2, 3, 5]) for n in (4, 8, 9, 30, 60, 140, 300)])
+    expected_of = partial(gram_set, n=5)
+    monkeypatch.setitem(globals(), "gram_set", expected_of)
+    assert result(similar_components(frame(rows), n=5, percent=80)) == brute_force(rows, 80)

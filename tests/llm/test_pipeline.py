@@ -60,3 +60,12 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_between_the_limits_go(spark, corpus):
+    """One with 20 % appended: 80 % of its runs of five words are the other's."""
+    words = [f"word{i}" for i in range(100)]
+    rows = [(1, " ".join(words[:80])), (2, " ".join(words[:98])), (3, " ".join(words[:60]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS)
+    one = stage("ngram_jaccard_join")(spark, docs, corpus)
+    assert {r["doc_id"] for r in one.collect()} == {1, 3}
