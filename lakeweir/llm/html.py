@@ -35,7 +35,15 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = "script style template noscript svg canvas iframe object head".split()
+NO_TEXT = frozenset("script style template noscript svg canvas iframe object head".split())
+#: Of these, what ends only at its own end tag, as its content is no HTML; and what a slash before ``>`` makes empty.
+RAW = frozenset(["script", "style"])
+MAY_BE_EMPTY = frozenset("script style svg canvas iframe object".split())
+#: Stands in the path of elements for one of these whose end tag is missing, and for what is in it.
+UNCLOSED, UNCLOSED_SVG = "-", "-svg"
+HIDES = NO_TEXT | {UNCLOSED, UNCLOSED_SVG}
+#: What may stand in a head; any other element ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: An opening tag of the key ends open elements of these names.
 ENDS = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th"},
@@ -55,11 +63,11 @@ _PARTS = [
     ("pre",), ("figure", "figcaption"), ("dl", "dd"), ("div", "p"), ("section", "p"),
 ]
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(NO_TEXT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
+#: A slash at the end of an attribute's bare value is part of the value.
+_CLOSES_ITSELF = re.compile(r"(?<!/)/\s*\Z")
+_BARE_VALUE = re.compile(r"""=\s*[^\s"'>]*/\s*\Z""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
@@ -84,7 +92,10 @@ def blocks_of(html: str) -> Blocks:
 
     Character references are decoded and white space inside a block becomes one
     space. Elements that hold no text for readers are left out whole. Tags that
-    are never closed end where another element ends them.
+    are never closed end where another element ends them: a head at the first
+    element or text that cannot stand in one, an svg at the first block, others
+    without text with their parent, and scripts and styles, which hold no tags,
+    at the end of the page.
     """
     out = Blocks([], [], [])
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -104,35 +115,55 @@ def blocks_of(html: str) -> Blocks:
 
     def text(value: str):
         nonlocal in_links
+        if value.strip() and stack and stack[-1][0] == "head":
+            del stack[-1]
+        if any(tag in HIDES for tag, _ in stack):
+            return
         held.append(value)
         if any(tag == "a" for tag, _ in stack):
             in_links += len(value)
 
+    def is_closed(tag: str, after: int) -> bool:
+        if tag not in last_ends:
+            last_ends[tag] = max((m.start() for m in re.finditer(rf"</{tag}(?=[\s/>])", html, re.I)), default=-1)
+        return last_ends[tag] >= after
+
+    last_ends: dict[str, int] = {}
     last = 0
-    for token in _TOKEN.finditer(html):
+    while token := _TOKEN.search(html, last):
         if token.start() > last:
             text(html[last : token.start()])
         last = token.end()
-        tag = (token.group(3) or "").lower()
+        tag = (token.group(2) or "").lower()
         if not tag:
-            if token.group(1) and token.group(1).lower() not in INLINE:
-                flush()
+            continue
+        opens, attributes = not token.group(1), token.group(3)
+        if opens:
+            hidden = next((i for i, (t, _) in enumerate(stack) if t in HIDES), None)
+            if hidden is not None and (stack[hidden][0] == "head" and tag not in IN_HEAD and len(stack) - 1 <= hidden + (stack[-1][0] == "title") or stack[hidden][0] == UNCLOSED_SVG and tag in ENDS):
+                del stack[hidden:]
+        empty = tag in MAY_BE_EMPTY and _CLOSES_ITSELF.search(attributes) and not _BARE_VALUE.search(attributes)
+        if tag in RAW or opens and empty:
+            flush()
+            if opens and not empty:
+                end = _RAW_ENDS[tag].search(html, last)
+                last = end.end() if end else len(html)
             continue
         if tag == "br":
             held.append(" ")
         elif tag in INLINE:
-            if not token.group(2):
+            if opens:
                 stack.append((tag, (tag,)))
             else:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        del stack[i]
+                        stack[i:] = [x for x in stack[i + 1 :] if x[0] not in (UNCLOSED, UNCLOSED_SVG)]
                         break
-                    if stack[i][0] not in INLINE:
+                    if stack[i][0] not in INLINE and stack[i][0] not in (UNCLOSED, UNCLOSED_SVG):
                         break
         else:
             flush()
-            if token.group(2):
+            if not opens:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         del stack[i:]
@@ -142,10 +173,14 @@ def blocks_of(html: str) -> Blocks:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in ends:
                         del stack[i:]
-                    elif stack[i][0] not in INLINE and stack[i][0] not in ("dl", "ul", "ol") + tuple(ends):
+                    elif stack[i][0] not in INLINE and stack[i][0] not in ("dl", "ul", "ol", UNCLOSED, UNCLOSED_SVG) + tuple(ends):
                         break
-                if tag not in VOID:
-                    stack.append((tag, _names(tag, token.group(4))))
+                if stack and stack[-1][0] in (UNCLOSED, UNCLOSED_SVG):
+                    continue
+                if tag in NO_TEXT and tag != "head" and not is_closed(tag, last):
+                    stack.append((UNCLOSED_SVG if tag == "svg" else UNCLOSED, ()))
+                elif tag not in VOID:
+                    stack.append((tag, _names(tag, attributes)))
     if last < len(html):
         text(html[last:])
     flush()

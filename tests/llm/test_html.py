@@ -75,3 +75,24 @@ def test_query(spark):
     assert text[4].startswith("Title 4 The quick brown fox jumps over the lazy dog and goes home. w40") and "river rose — slowly" in text[4] and "& the" in text[4]
     assert "Home" not in text[4] and "site" not in text[4] and len(text[52]) > 300_000
     assert main_texts(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("html, texts", [
+    ("<html><head><title>x</title><body><article><p>Hello</p>", ["Hello"]),
+    ("<head><meta charset=u><title>x</title><p>Hello", ["Hello"]),
+    ("<head><title>x</title>Hello", ["Hello"]),
+    ("<head><title>x</title><script>a</script><noscript><p>n</p></noscript></head><p>Hello", ["Hello"]),
+    ('<article><svg class="i"/><p>Hello</p>', ["Hello"]),
+    ("<iframe src=a /><p>a<canvas/><object data='x' />b", ["a", "b"]),
+    ("<p>a <svg class=i/><path d=m></svg> b", ["a", "b"]),
+    ("<div><p>a <svg><path d=m><p>b</div><p>c", ["a", "b", "c"]),
+    ("<div>a<span><svg><path></span>b</div>c", ["a", "b", "c"]),
+    ("<div>a<object><p>none</div><p>b", ["a", "b"]),
+    ("<li>a<iframe><li>b", ["a", "b"]),
+    ("<svg><g><text>none</text></g></svg><p>a<template><p>none</p></template>b<noscript>none</noscript>", ["a", "b"]),
+    ("<head-line>a</head-line><script-x>b</script-x><p>c", ["a", "b", "c"]),
+    ("<script src='x'/><p>a<script>var x = '<p>none';</script><style>none", ["a"]),
+    ("<SVG><title>none</title></SVG><P>a<SCRIPT>none</SCRIPT >b", ["a", "b"]),
+])
+def test_hidden_elements_end(html, texts):
+    assert blocks_of(html).texts == texts
