@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import prepared, read_table, shared_folder
+from lakeweir.llm.common import prepared, read_table, saved, shared_folder
 from lakeweir.llm.langid import held_out, train, with_language
 from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
@@ -41,18 +41,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each component the row with the smallest id stays.
 
-    Rows of one id and component, as repeated rows, leave one. Documents without
-    words, and those with a null id, are in no group and stay.
+    Rows are told apart by all of their columns, so rows of one id and different
+    texts are different rows. Null ids come last, rows of one id go by their key,
+    and equal rows leave one. Rows without words are in no group and stay.
     """
-    rows = similar_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id IS NOT NULL AND n_shingles > 0")
-    gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    twice = rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_id"))
-    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    marked = kept.join(twice, kept["doc_id"] == twice["twice_id"], "left")
-    single = marked.where("twice_id IS NULL").drop("twice_id")
-    first = F.row_number().over(Window.partitionBy("twice_id").orderBy(_row_key(docs)))
-    again = marked.where("twice_id IS NOT NULL").withColumn("__place", first).where("__place = 1")
-    return single.unionByName(again.drop("twice_id", "__place"))
+    key = _row_key(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key.alias("key"))
+    rows = similar_components(docs.select(row.alias("row"), "text"), "row", n=NEAR_WORDS, percent=NEAR_PERCENT).where("n_shingles > 0")
+    rows = saved(rows.select(F.col("doc_id.key").alias("own"), F.col("component_id.key").alias("first")), "kept")
+    gone = rows.where("own <> first").select(F.col("own").alias("__gone")).distinct()
+    twice = rows.where("own = first").groupBy("own").count().where("count > 1").select(F.col("own").alias("__twice"))
+    kept = docs.join(gone, key == gone["__gone"], "left_anti")
+    marked = kept.join(twice, key == twice["__twice"], "left")
+    once = marked.where("__twice IS NULL").drop("__twice")
+    return once.unionByName(marked.where("__twice IS NOT NULL").drop("__twice").distinct())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,13 @@ def test_near_copies_between_the_limits_go(spark, corpus):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS)
     one = stage("ngram_jaccard_join")(spark, docs, corpus)
     assert {r["doc_id"] for r in one.collect()} == {1, 3}
+
+
+def test_shared_and_null_ids(spark):
+    text = lambda x, n=40: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(7, text("a")), (7, text("b")), (7, text("b")), (3, text("a")), (8, text("c")), (8, text("d")), (None, text("e")), (None, text("e")),
+            (None, text("e", 41)), (None, text("c")), (None, ""), (None, ""), (9, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], COLUMNS).withColumn("n_chars", F.length("text").cast("long"))
+    one = stage("ngram_jaccard_join")(spark, docs, "")
+    got = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in one.collect())
+    assert got == {(3, "a0"): 1, (7, "b0"): 1, (8, "c0"): 1, (8, "d0"): 1, (None, "e0"): 1, (None, ""): 2, (9, ""): 2}
