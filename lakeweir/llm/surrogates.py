@@ -18,12 +18,14 @@ from lakeweir.llm.common import saved
 # Patterns of entities, in the order in which they are tried.
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _H = "[0-9A-Fa-f]{1,4}"
+#: All eight groups, or up to seven of them around one "::", which alone is no one's address.
+_V6 = "|".join([f"(?:{_H}:){{7}}(?:{_H}|:)", *(f"(?:{_H}:){{{n}}}:(?:{_H}(?::{_H}){{0,{6 - n}}})?" for n in range(6, 0, -1)), f"::{_H}(?::{_H}){{0,6}}"])
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|"
     r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ipv6": rf"(?<![\p{{L}}\p{{N}}:])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{2,6}}:{_H}(?::{_H}){{0,4}})(?![\p{{L}}\p{{N}}:])",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:])(?=[0-9A-Fa-f]{{0,4}}:[0-9A-Fa-f:])(?:{_V6})(?![\p{{L}}\p{{N}}:]|\.[0-9])",
     "ipv4": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "card": r"(?<![\p{L}\p{N}])(?:(?:[0-9]{4}[ -]?){3}[0-9]{1,7}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![\p{L}\p{N}])",
@@ -41,7 +43,7 @@ _WORD = r"\p{Lu}[\p{Ll}\p{M}'’]+"
 PATTERNS["name"] = rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.?[  ]{_WORD}(?:[  -]{_WORD}){{0,2}}"
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity has one of, to pass over most texts quickly.
-HINT = rf"[0-9@]|{_TITLE}\.?[  ]\p{{Lu}}|eyJ|sk-|gh[pousr]_|[a-fA-F]{{32}}"
+HINT = rf"[0-9@]|{_TITLE}\.?[  ]\p{{Lu}}|eyJ|sk-|gh[pousr]_|AKIA|[a-fA-F]{{32}}|::|[a-fA-F]:[a-fA-F]"
 
 #: Syllables that surrogate names are made of, by script, and endings by gender.
 SYLLABLES = {
@@ -110,7 +112,9 @@ def _surrogate() -> Column:
         "email": f"concat({_swapped(local)}, '@', {_swapped(labels).replace('stream', 'domain_stream')}, '.example')",
         "secret": f"concat(regexp_extract(canon, '^(AKIA|gh[pousr]_|sk-|eyJ|)', 1), {_swapped('regexp_replace(canon, \"^(AKIA|gh[pousr]_|sk-|eyJ)\", \"\")', 'canon RLIKE \"^[0-9a-fA-F]+$\"')})",
         "iban": _iban("left(canon, 2)", f"{_swapped('substring(canon, 5)')}"),
-        "ipv6": _swapped("canon", "true"),
+        # Short groups have few draws; where those are used up, they become long ones.
+        "ipv6": f"CASE WHEN attempt > 5 THEN regexp_replace({_swapped('canon', 'true')}, '(?<![0-9a-f])[0-9a-f]{{1,3}}(?![0-9a-f])', "
+        f"concat(translate(substring(stream, 241, 1), '0', 'f'), substring(stream, 242, 3))) ELSE {_swapped('canon', 'true')} END",
         "ipv4": f"concat_ws('.', 11 + {_draw('1', 116)}, {_draw('2', 256)}, {_draw('3', 256)}, {_draw('4', 256)})",
         "ssn": f"concat(1 + {_draw('0', 8)}, substring({_swapped('canon')}, 2))",
         "card": f"element_at(transform(array({card}), s -> {fixed}), 1)",
