@@ -23,8 +23,6 @@ from lakeweir.llm.tokens import tokenizer_source
 
 #: Documents with this share of their runs of so many words in common, in percent, are near copies.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-#: Language ID rejects what scores lower, beside texts without a letter.
-LEAST_LANGUAGE_SCORE = 0.25
 
 
 def _row_key(docs: DataFrame):
@@ -32,10 +30,10 @@ def _row_key(docs: DataFrame):
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: texts without a letter, and texts that no language fits, go."""
-    code, score = "__lang_pred", "__lang_score"
-    known = with_language(docs, train(docs.select("doc_id", "text", "lang"), ~held_out()), code, score)
-    return known.where((F.col(code) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(code, score)
+    """Language ID: texts without a letter, and texts that do not fit the language they are most like, go."""
+    code, score, fits = "__lang_pred", "__lang_score", "__lang_fits"
+    known = with_language(docs, train(docs.select("doc_id", "text", "lang"), ~held_out()), code, score, fits)
+    return known.where(F.col(fits)).drop(code, score, fits)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,12 @@ FEATURES = 1 << 15
 LONGEST = 3
 #: At most so many labelled documents of each language are fitted on.
 FIT_PER_LANGUAGE = 800
+#: A text fits its language down to this multiple of how far this share of the learned texts lies below their median.
+FIT_REACH, FIT_SHARE = 2.5, 0.005
+#: Standard errors that a short text may lie lower.
+FIT_ERRORS = 3.0
+#: What an n-gram that a language never shows counts as.
+UNSEEN = 0.5
 
 _LETTER: list[np.ndarray] = []
 
@@ -119,13 +125,21 @@ class Model:
     pairs: list[tuple[int, int]] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((FEATURES, 0), np.float32))
     biases: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    profiles: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES), np.float32))
+    least: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    spread: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """The language of each text and a score from 0 to 1; ``und`` and 0 without a letter."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language of each text, a score from 0 to 1, and whether the text fits the language.
+
+        ``und``, 0 and no without a letter. The score tells the languages apart;
+        a text fits if its n-grams are about as likely in the language as those
+        of the texts learned from, the less surely the shorter it is.
+        """
         n = len(texts)
         feature, owner, has_letter = hashed_grams(texts)
         if not self.languages:
-            return ["und"] * n, np.zeros(n)
+            return ["und"] * n, np.zeros(n), np.zeros(n, bool)
         counts = np.bincount(owner, minlength=n)
         sums = np.zeros((n, len(self.biases)))
         some = np.flatnonzero(counts)
@@ -153,18 +167,41 @@ class Model:
             weakest[:, b] = np.minimum(weakest[:, b], 1 - odds)
         best = votes.argmax(axis=1)
         score = np.where(has_letter, sure * weakest[np.arange(n), best], 0.0)
-        return [self.languages[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)], score
+        likely = np.bincount(owner, weights=self.profiles[best[owner], feature], minlength=n) / np.maximum(counts, 1)
+        fits = has_letter & (likely >= self.least[best] - FIT_ERRORS * self.spread[best] / np.sqrt(np.maximum(counts, 1)))
+        return [self.languages[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)], score, fits
+
+
+def profile(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float, float]:
+    """``(log-frequencies, least, spread)`` of the n-grams of a language's texts, each given as features and counts.
+
+    ``least`` is how likely the n-grams of a text have to be in the mean. It comes
+    from the texts themselves, each by the counts of the others; ``spread`` is how
+    far single n-grams of a text lie apart.
+    """
+    total = np.zeros(FEATURES)
+    for at, n in counted:
+        total[at] += n
+    means, spreads = [], []
+    for at, n in counted:
+        value = np.log((total[at] - n + UNSEEN) / (total.sum() - n.sum() + UNSEEN * FEATURES))
+        means.append(n @ value / n.sum())
+        spreads.append(np.sqrt(n @ (value - means[-1]) ** 2 / n.sum()))
+    middle = np.median(means)
+    least = middle - FIT_REACH * (middle - np.quantile(means, FIT_SHARE))
+    return np.log((total + UNSEEN) / (total.sum() + UNSEEN * FEATURES)).astype(np.float32), float(least), float(np.mean(spreads))
 
 
 def fit(labels: list[str], blobs: list[bytes]) -> Model:
     """Fit all classifiers to feature counts of labelled texts (see :func:`_counted`)."""
     if not labels:
         return Model()
-    counted = []
+    counted, own = [], {}
     total = np.zeros(FEATURES)
-    for blob in blobs:
+    for label, blob in zip(labels, blobs, strict=True):
         at, n = np.frombuffer(blob, np.uint32).reshape(2, -1)
         counted.append((at, n / n.sum()))
+        own.setdefault(label, []).append((at, n.astype(float)))
         total[at] += n / n.sum()
     # Rare features count for more: each frequency over the root of its mean.
     scale = 1 / np.sqrt(total / len(blobs) + 1e-6)
@@ -183,7 +220,10 @@ def fit(labels: list[str], blobs: list[bytes]) -> Model:
         chosen = np.flatnonzero((of == a) | (of == b))
         fitted.append(fit_linear([rows[i] for i in chosen], np.where(of[chosen] == a, 1.0, -1.0)))
     w = np.stack(fitted, axis=1)
-    return Model(languages, families, pairs, (w[:-1] * scale[:, None]).astype(np.float32), w[-1].astype(np.float32))
+    profiles, least, spread = zip(*[profile(own[code]) for code in languages], strict=True)
+    return Model(
+        languages, families, pairs, (w[:-1] * scale[:, None]).astype(np.float32), w[-1].astype(np.float32), np.stack(profiles), np.array(least), np.array(spread)
+    )
 
 
 def _counted(batches):
@@ -220,15 +260,16 @@ def train(docs: DataFrame, learn: Column, per_language: int = FIT_PER_LANGUAGE)
     return fit([r[0] for r in rows], [r[1] for r in rows])
 
 
-def with_language(docs: DataFrame, model: Model, language: str, score: str) -> DataFrame:
-    """All columns and rows of ``docs`` with the prediction from their ``text`` in two more columns."""
-    schema = docs.select("*", F.lit("").alias(language), F.lit(0.0).alias(score)).schema
+def with_language(docs: DataFrame, model: Model, language: str, score: str, fits: str) -> DataFrame:
+    """All columns and rows of ``docs`` with the prediction from their ``text`` in three more columns."""
+    schema = docs.select("*", F.lit("").alias(language), F.lit(0.0).alias(score), F.lit(True).alias(fits)).schema
 
     def work(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
-                codes, scores = model.predict(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(codes, pa.string()), pa.array(scores)], names=[*part.schema.names, language, score])
+                codes, scores, fitting = model.predict(part.column("text").to_pylist())
+                columns = [*part.columns, pa.array(codes, pa.string()), pa.array(scores), pa.array(fitting)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, language, score, fits])
 
     return docs.mapInArrow(work, schema)
 
@@ -247,5 +288,5 @@ def identified(docs: DataFrame) -> DataFrame:
     one result; other columns are not read.
     """
     model = train(docs.select("doc_id", "text", "lang"), ~held_out())
-    out = with_language(docs.select("doc_id", "text"), model, "lang_pred", "score")
+    out = with_language(docs.select("doc_id", "text"), model, "lang_pred", "score", "fits")
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -79,3 +79,12 @@ def test_shared_and_null_ids(spark):
     one = stage("ngram_jaccard_join")(spark, docs, "")
     got = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in one.collect())
     assert got == {(3, "a0"): 1, (7, "b0"): 1, (8, "c0"): 1, (8, "d0"): 1, (None, "e0"): 1, (None, ""): 2, (9, ""): 2}
+
+
+def test_text_of_no_learned_language_goes(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    strange = ["Быстрая лиса прыгает через ленивую собаку и бежит домой", "zqxj kvvy wwuq jjxz qyyk xzuv vvqj ykkx zuuq xxjv", "12 ψ 34 ξ ζ 5 χψ"]
+    more = spark.createDataFrame([(300 + i, t, None, "s1", len(t)) for i, t in enumerate(strange)], COLUMNS)
+    known = stage("language_id")(spark, docs.unionByName(more), corpus)
+    assert {r["doc_id"] for r in docs.unionByName(more).exceptAll(known).collect()} == {103, 104, None, 300, 301, 302}
+    assert docs.count() - known.count() == 3
