@@ -15,8 +15,10 @@ from lakeweir.llm.mixing import mixed
 from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.postings import contamination
 from lakeweir.llm.repair import token_files
+from lakeweir.llm.runs import with_planted_runs, with_runs
 from lakeweir.llm.spotsigs import edited_fingerprints
-from lakeweir.llm.sql import DECONTAMINATION, NGRAM_JACCARD
+from lakeweir.llm.shallot import clustered, integer_vectors
+from lakeweir.llm.sql import CLUSTERS, DECONTAMINATION, NGRAM_JACCARD, RUNS
 from lakeweir.llm.surrogates import with_surrogates
 from lakeweir.llm.tokens import tokenizer_source
 
@@ -70,6 +72,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(read_table(spark, sf_dir, "documents"))
 
 
+def op12_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(integer_vectors(read_table(spark, sf_dir, "embeddings"), 64, 256), 64, k=40, rounds=5)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_runs(with_planted_runs(read_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    by_length = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("longest", F.array_max(by_length))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pii_surrogates": (op1_pii_surrogates, None),
     "op2_kneser_ney": (op2_kneser_ney, None),
@@ -81,6 +104,8 @@ QUERIES = {
     "op8_html_main_text": (op8_html_main_text, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION),
     "op10_language_id": (op10_language_id, None),
+    "op12_shallot_clusters": (op12_shallot_clusters, CLUSTERS),
+    "op13_periodic_runs": (op13_periodic_runs, RUNS),
 }
 
 ENTRIES = {name: (prepared(query), sql) for name, (query, sql) in QUERIES.items()}
