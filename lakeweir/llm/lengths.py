@@ -29,9 +29,9 @@ def length_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
 
     def work(batches):
         seen: dict[int, int] = {}
-        for batch in batches:
-            for part in text_slices(batch, "text", ENCODE_BYTES):
-                _, starts = encoder(tokenizer).encode(part.column("text"))
+        with encoder(tokenizer) as tokens:
+            for part in (part for batch in batches for part in text_slices(batch, "text", ENCODE_BYTES)):
+                _, starts = tokens.encode(part.column("text"))
                 for n, times in zip(*(a.tolist() for a in np.unique(np.diff(starts), return_counts=True)), strict=True):
                     seen[n] = seen.get(n, 0) + times
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["n_tokens", "n_docs"])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import text_slices
+from lakeweir.llm.common import saved, text_slices
 from lakeweir.llm.tokens import ENCODE_BYTES, encoder
 
 #: Ids in a shard; one document of more makes a larger shard.
@@ -160,7 +160,7 @@ def from_planes(blob: bytes) -> np.ndarray:
 
 
 _SHARD = (
-    "part int, shard int, n_docs long, n_ids long, base long, doc_ids array<{id}>, doc_lengths binary, "
+    "part int, shard int, before_in_part long, n_docs long, n_ids long, base long, doc_ids array<{id}>, doc_lengths binary, "
     "rules_left binary, rules_right binary, rule_lengths binary, symbols binary"
 )
 
@@ -182,10 +182,10 @@ class TokenFiles:
         kind = docs.schema[id_col].dataType.simpleString()
         names = [part.split()[0] for part in _SHARD.split(", ")]
 
-        def row(number: int, ids: list[pa.Array], tokens: list[np.ndarray], lengths: list[np.ndarray]):
+        def row(number: int, before: int, ids: list[pa.Array], tokens: list[np.ndarray], lengths: list[np.ndarray]):
             grammar, length = compress(np.concatenate(tokens)), np.concatenate(lengths)
             docs_of = pa.concat_arrays(ids)
-            one = [len(length), int(length.sum()), grammar.base]
+            one = [before, len(length), int(length.sum()), grammar.base]
             return pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([number], pa.int32()), *(pa.array([n], pa.int64()) for n in one),
                  pa.ListArray.from_arrays(pa.array([0, len(docs_of)], pa.int32()), docs_of),
@@ -194,10 +194,10 @@ class TokenFiles:
             )
 
         def work(batches):
-            made, ids, tokens, lengths, held = 0, [], [], [], 0
-            for batch in batches:
-                for part in text_slices(batch, "text", ENCODE_BYTES):
-                    out, starts = encoder(tokenizer).encode(part.column("text"), end)
+            made, before, ids, tokens, lengths, held = 0, 0, [], [], [], 0
+            with encoder(tokenizer) as known:
+                for part in (part for batch in batches for part in text_slices(batch, "text", ENCODE_BYTES)):
+                    out, starts = known.encode(part.column("text"), end)
                     first = 0
                     while first < part.num_rows:
                         # As many documents as the shard has room for, and one at least.
@@ -208,10 +208,10 @@ class TokenFiles:
                         lengths.append(np.diff(starts[first : last + 1]))
                         held, first = held + len(tokens[-1]), last
                         if held >= SHARD_IDS or first < part.num_rows:
-                            yield row(made, ids, tokens, lengths)
-                            made, ids, tokens, lengths, held = made + 1, [], [], [], 0
+                            yield row(made, before, ids, tokens, lengths)
+                            made, before, ids, tokens, lengths, held = made + 1, before + held, [], [], [], 0
             if ids:
-                yield row(made, ids, tokens, lengths)
+                yield row(made, before, ids, tokens, lengths)
 
         texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
@@ -222,15 +222,16 @@ class TokenFiles:
     def shards(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
-    def starts(self) -> DataFrame:
-        """``(part, shard, before)``: the ids of all shards before each."""
-        within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    def placed(self) -> DataFrame:
+        """All shards with ``before``, the ids of all shards before each.
+
+        Each part's size is one row. They are written, so Spark knows their size and, where that
+        is small enough, moves no shard.
+        """
         earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = self.shards().select("part", "shard", "n_ids")
-        parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+        parts = self.shards().groupBy("part").agg(F.sum("n_ids").alias("ids"))
         parts = parts.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("earlier"))
-        sizes = sizes.withColumn("within", F.coalesce(F.sum("n_ids").over(within), F.lit(0)))
-        return sizes.join(parts, "part").select("part", "shard", (F.col("within") + F.col("earlier")).alias("before"))
+        return self.shards().join(saved(parts, "parts"), "part").withColumn("before", F.col("before_in_part") + F.col("earlier")).drop("earlier")
 
     def documents(self) -> DataFrame:
         """``(doc_id, start, n_tokens, ids)`` of every document, decoded from its shard.
@@ -238,7 +239,7 @@ class TokenFiles:
         ``start`` counts the ids of all documents before it; ``ids`` holds them
         as little-endian unsigned integers of 32 bits.
         """
-        shards = self.shards().join(self.starts(), ["part", "shard"])
+        shards = self.placed()
         kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
 
         def work(batches):
@@ -264,7 +265,7 @@ class TokenFiles:
         A range is cut where shards end, so it can give several rows, each with
         its own ``first`` and ``last``. Only the symbols of a range are expanded.
         """
-        shards = self.shards().join(self.starts(), ["part", "shard"]).withColumn("cell", F.explode(F.sequence(F.expr(f"before div {SHARD_IDS}"), F.expr(f"(before + n_ids - 1) div {SHARD_IDS}"))))
+        shards = self.placed().withColumn("cell", F.explode(F.sequence(F.expr(f"before div {SHARD_IDS}"), F.expr(f"(before + n_ids - 1) div {SHARD_IDS}"))))
         ranges = wanted.select("first", "last").where("first < last").withColumn("cell", F.explode(F.sequence(F.expr(f"first div {SHARD_IDS}"), F.expr(f"(last - 1) div {SHARD_IDS}"))))
         meet = ranges.join(shards, "cell").where("first < before + n_ids AND last > before")
         meet = meet.withColumns({"first": F.greatest("first", "before"), "last": F.least("last", F.col("before") + F.col("n_ids"))}).dropDuplicates(["first", "last"])
