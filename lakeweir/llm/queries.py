@@ -12,6 +12,7 @@ from lakeweir.llm.kneserney import quality
 from lakeweir.llm.langid import identified
 from lakeweir.llm.lengths import length_counts, length_histogram
 from lakeweir.llm.mixing import mixed
+from lakeweir.llm.packing import packed
 from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.postings import contamination
 from lakeweir.llm.repair import token_files
@@ -23,6 +24,7 @@ from lakeweir.llm.surrogates import with_surrogates
 from lakeweir.llm.tokens import tokenizer_source
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 1
 
 #: The key that surrogates are drawn with here; a production run brings its own.
@@ -72,6 +74,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(read_table(spark, sf_dir, "documents"))
 
 
+def op11_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed(read_table(spark, sf_dir, "documents"), tokenizer_source(BYTE_BPE), END_ID, longest=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(integer_vectors(read_table(spark, sf_dir, "embeddings"), 64, 256), 64, k=40, rounds=5)
 
@@ -104,6 +111,7 @@ QUERIES = {
     "op8_html_main_text": (op8_html_main_text, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION),
     "op10_language_id": (op10_language_id, None),
+    "op11_binary_packing": (op11_binary_packing, None),
     "op12_shallot_clusters": (op12_shallot_clusters, CLUSTERS),
     "op13_periodic_runs": (op13_periodic_runs, RUNS),
 }
