@@ -9,7 +9,8 @@ number of ids.
 
 Documents are encoded where they are read. A task writes its pieces with their
 places in its buckets; numbers over all tasks come from the sizes of the tasks'
-buckets, some rows a task. No text and no id is shuffled.
+buckets, at most a dozen rows a task. These are written, so Spark knows their
+size: while that allows a broadcast, no text and no id is shuffled.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def packed(docs: DataFrame, tokenizer: str, end: int, longest: int = LONGEST, id
     buckets = buckets.select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0))).join(buckets, "bucket")
     sizes = sizes.select("bucket", "task", (F.col("before") + F.col("first")).alias("before"))
-    return pieces.join(sizes, ["bucket", "task"]).select(
+    return pieces.join(saved(sizes, "sizes"), ["bucket", "task"]).select(
         "doc_id", "start", "length", "ids", "doc_tokens", "bucket", (F.col("before") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
 
