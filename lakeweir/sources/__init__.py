@@ -1,5 +1,6 @@
 """Datasets, tables and intermediate storage."""
 
+from lakeweir.sources.csv_split import multiline_records, read_multiline_csv
 from lakeweir.sources.files import read_dataset, read_path, write_dataset, write_path
 from lakeweir.sources.history import load_history, record_load
 from lakeweir.sources.staging import materialize, shared_dir, stage
@@ -30,9 +31,11 @@ __all__ = [
     "insert_table",
     "load_history",
     "materialize",
+    "multiline_records",
     "publish",
     "read_dataset",
     "read_jdbc",
+    "read_multiline_csv",
     "read_path",
     "read_query",
     "read_table",

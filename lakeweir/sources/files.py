@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweir.functions.columns import blank_to_none, column_list
 from lakeweir.operators.dedupe import drop_duplicate_rows
 from lakeweir.operators.layout import hash_layout
+from lakeweir.sources.csv_split import LISTING_OPTIONS, can_split, read_multiline_csv
 from lakeweir.sources.zones import PLAIN, RAW, choose_format, dataset_path
 
 # What the CSV sink writes for a null and how it writes a timestamp.
@@ -38,6 +40,16 @@ def available_format(spark: SparkSession, fmt: str) -> str:
     raise ValueError("this session has no Delta support; name another format")
 
 
+def _has_large_file(
+    spark: SparkSession, path: str, recursive: bool, options: Mapping[str, str] | None
+) -> bool:
+    """Whether a file is larger than ``spark.sql.files.maxPartitionBytes``; lists files and opens none."""
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    listing = {k: v for k, v in (options or {}).items() if k.lower() in LISTING_OPTIONS}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    return not files.options(**listing).load(path).where(F.col("length") > limit).select("length").isEmpty()
+
+
 def read_path(
     spark: SparkSession,
     path: str,
@@ -48,16 +60,32 @@ def read_path(
     multiline: bool = False,
     schema: T.StructType | str | None = None,
     recursive: bool = False,
+    split: bool | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Scan a path.
 
     CSV and JSON infer their types in an extra pass over the text unless
-    ``schema`` is given. Multi-line files cannot be split: one file is one
-    task, so large inputs should come as many files or without it.
+    ``schema`` is given. Multi-line JSON files cannot be split: one file is one
+    task. Multi-line CSV files are split where ``split`` says so, or by default
+    where one of them is larger than a scan task is meant to read.
     """
     fmt = available_format(spark, choose_format(path, fmt))
     sep = blank_to_none(sep)
+    if split and not (fmt == "csv" and multiline):
+        raise ValueError("split is for multi-line CSV")
+    if fmt == "csv" and multiline and split is None:
+        split = can_split(options) and _has_large_file(spark, path, recursive, options)
+    if split:
+        return read_multiline_csv(
+            spark,
+            path,
+            sep=sep,
+            header=header,
+            schema=schema,
+            recursive=recursive,
+            options=options,
+        )
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -95,6 +123,7 @@ def read_dataset(
     dedupe: bool = True,
     dedupe_keys: str | list[str] | None = None,
     recursive: bool = False,
+    split: bool | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read one dataset of a zone and drop duplicate rows.
@@ -116,6 +145,7 @@ def read_dataset(
         multiline=multiline,
         schema=schema,
         recursive=recursive,
+        split=split,
         options=options,
     )
     return drop_duplicate_rows(df, dedupe_keys) if dedupe else df

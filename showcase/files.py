@@ -58,6 +58,35 @@ def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 CSV_MULTILINE_ROUNDTRIP = "SELECT DISTINCT doc_id, text, lang FROM documents"
 
 
+def csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts from one large file that is read by its splits."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    exact = {
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    zones = _zones(spark, "csv_multiline_split")
+    place = {"zone": "raw", "container": CONTAINER, "folder": "in", "file": "documents.csv"}
+    lw.write_dataset(documents.coalesce(1), zones, **place, fmt="csv", null_value="", options=exact)
+    read = lw.read_dataset(
+        spark,
+        zones,
+        **place,
+        schema=documents.schema,
+        dedupe=False,
+        split=True,
+        options={**exact, "maxCharsPerColumn": "-1"},
+    )
+    # CSV has one form for a null and an empty text.
+    return read.withColumns({c: F.nullif(c, F.lit("")) for c in ("text", "lang", "source")})
+
+
+CSV_MULTILINE_SPLIT = """
+SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, nullif(source, '') AS source
+FROM documents"""
+
+
 def csv_null_as_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         "p_partkey",
@@ -178,6 +207,7 @@ NESTED_DIR_SCAN = "SELECT * FROM events"
 ENTRIES = {
     "csv_roundtrip": (csv_roundtrip, CSV_ROUNDTRIP),
     "csv_multiline_roundtrip": (csv_multiline_roundtrip, CSV_MULTILINE_ROUNDTRIP),
+    "csv_multiline_split": (csv_multiline_split, CSV_MULTILINE_SPLIT),
     "csv_null_as_zero": (csv_null_as_zero, CSV_NULL_AS_ZERO),
     "csv_plain_fallback": (csv_plain_fallback, CSV_PLAIN_FALLBACK),
     "json_roundtrip": (json_roundtrip, JSON_ROUNDTRIP),
