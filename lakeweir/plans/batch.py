@@ -24,12 +24,13 @@ from lakeweir.operators.flatten import flatten
 from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
 from lakeweir.sources.files import DEFAULT_FORMAT, read_dataset, read_path, write_dataset
-from lakeweir.sources.history import record_load
+from lakeweir.sources.history import record_load, target_folder
 from lakeweir.sources.staging import release, stage
 from lakeweir.sources.tables import (
+    BATCH_COLUMN,
+    has_batch,
+    insert_batch,
     insert_table,
-    is_current_version,
-    last_batch,
     mark_batch,
     partition_columns,
     publish,
@@ -79,6 +80,7 @@ class BatchSpec:
     table: str | None = None
     table_root: str | None = None
     table_mode: str = "append"
+    by_batch: bool = False
     merge: str | None = None
     keys: str | list[str] | None = None
     recency: str | None = None
@@ -110,6 +112,8 @@ class BatchSpec:
                 raise ValueError("dedupe_batch needs a recency column")
         elif column_list(self.keys):
             raise ValueError("key columns are set but no merge is chosen")
+        if self.by_batch and (self.merge is not None or self.table_mode != "append" or not self.table):
+            raise ValueError("a table by batch is one that batches are appended to")
         if self.on_reject not in ON_REJECT:
             raise ValueError(f"on_reject must be one of {ON_REJECT}, not {self.on_reject!r}")
         if self.on_reject == "quarantine" and not self.reject_path:
@@ -149,6 +153,8 @@ def _alignment_target(
     if not spec.table or not spark.catalog.tableExists(spec.table):
         return None
     added = {name.lower() for name in AUDIT_COLUMNS}
+    if spec.by_batch:
+        added.add(BATCH_COLUMN.lower())
     if spec.tenant is None:
         added.discard(TENANT_COLUMN.lower())
     if spec.merge == "soft" and ACTIVE_FLAG.lower() not in {c.lower() for c in columns}:
@@ -161,8 +167,23 @@ def _alignment_target(
 def _has_batch(spark: SparkSession, spec: BatchSpec) -> bool:
     return (
         blank_to_none(spec.table) is not None
+        and not spec.by_batch
         and spark.catalog.tableExists(spec.table)
-        and last_batch(spark, spec.table) == spec.batch_id
+        and has_batch(spark, spec.table, spec.batch_id)
+    )
+
+
+def _insert(spec: BatchSpec, batch: DataFrame) -> bool:
+    """Insert the batch unless the table has it; false where the mode leaves the table alone."""
+    if spec.by_batch:
+        insert_batch(batch, spec.table, spec.batch_id, spec.partition_by)
+        return True
+    return insert_table(
+        batch,
+        spec.table,
+        spec.table_mode,
+        partition_by=spec.partition_by,
+        batch_id=spec.batch_id,
     )
 
 
@@ -235,14 +256,11 @@ def _shaped(
     return audited, report, may_reject, read_counts, written_counts
 
 
-def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
+def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame, run: str) -> int:
     """Merge into the table and publish; returns the rows written."""
     exists = spark.catalog.tableExists(spec.table)
-    if exists and (
-        is_current_version(spark, spec.table, spec.batch_id)
-        or last_batch(spark, spec.table) == spec.batch_id
-    ):
-        # A repeated run of a load that failed after its merge.
+    if exists and has_batch(spark, spec.table, spec.batch_id):
+        # A repeated run of a load that has merged, or failed after its merge.
         return spark.table(spec.table).count()
     if spec.merge == "soft" and ACTIVE_FLAG.lower() not in {c.lower() for c in batch.columns}:
         batch = batch.withColumn(ACTIVE_FLAG, F.lit(1))
@@ -254,7 +272,7 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame) -> int:
         batch = batch.to(known)
     if spec.dedupe_batch:
         # The merge reads its batch more than once.
-        batch = stage(latest_per_key(batch, spec.keys, spec.recency), f"latest-{spec.batch_id}")
+        batch = stage(latest_per_key(batch, spec.keys, spec.recency), f"latest-{run}")
     if not exists:
         return publish(
             batch, spec.table, spec.table_root, spec.batch_id, column_list(spec.partition_by)
@@ -291,6 +309,14 @@ def _write_curated(spec: BatchSpec, batch: DataFrame) -> str:
     )
 
 
+def _target(spec: BatchSpec) -> str:
+    """What a load writes: its table, else its place in the lake."""
+    if blank_to_none(spec.table):
+        return spec.table
+    place = (spec.curated_zone, spec.curated_container or spec.container, spec.curated_folder, spec.curated_file)
+    return "/".join(part for part in place if part)
+
+
 def _record(spark: SparkSession, spec: BatchSpec, result: LoadResult) -> LoadResult:
     if spec.history_root:
         record_load(
@@ -298,7 +324,7 @@ def _record(spark: SparkSession, spec: BatchSpec, result: LoadResult) -> LoadRes
             spec.history_root,
             spec.batch_id,
             result.operation,
-            spec.table or "",
+            _target(spec),
             raw_count=result.raw_count,
             source_count=result.source_count,
             transform_count=result.transform_count,
@@ -323,16 +349,23 @@ def ingest_batch(spark: SparkSession, spec: BatchSpec) -> LoadResult:
     ``reject_path`` (``"quarantine"``), or are null in the stored row and counted
     (``"null"``). Columns that the target lacks stop it too, unless
     ``on_extra="drop"`` gives them up.
+
+    A load that is started again under its batch id neither inserts nor merges
+    again, however many others came between. With ``by_batch`` the table is laid
+    out by batch, and a repeated load replaces its own rows, so that a failure at any
+    point of the first attempt leaves no copy behind.
     """
     spec.check()
+    # Loads of other tables, or of this one, may run under the same batch id at the same time.
+    run = f"{spec.batch_id}-{uuid.uuid4().hex}"
     try:
-        return _ingest(spark, spec)
+        return _ingest(spark, spec, run)
     finally:
-        for name in (f"batch-{spec.batch_id}", f"latest-{spec.batch_id}"):
+        for name in (f"batch-{run}", f"latest-{run}"):
             release(spark, name)
 
 
-def _ingest(spark: SparkSession, spec: BatchSpec) -> LoadResult:
+def _ingest(spark: SparkSession, spec: BatchSpec, run: str) -> LoadResult:
     raw = _raw(spark, spec)
     result = LoadResult(spec.batch_id, "none", 0, 0, 0)
     if raw.isEmpty():
@@ -369,12 +402,10 @@ def _ingest(spark: SparkSession, spec: BatchSpec) -> LoadResult:
         path = _write_curated(spec, batch)
         batch = read_path(spark, path, _curated_format(spec), schema=batch.schema)
     elif table_first:
-        insert_table(
-            shaped.drop(report), spec.table, spec.table_mode, batch_id=spec.batch_id
-        )
+        _insert(spec, shaped.drop(report))
         batch = None
     else:
-        batch = stage(shaped, f"batch-{spec.batch_id}")
+        batch = stage(shaped, f"batch-{run}")
 
     counts, written = read_counts.get, written_counts.get
     result.raw_count, result.source_count = counts["raw"], counts["source"]
@@ -385,7 +416,7 @@ def _ingest(spark: SparkSession, spec: BatchSpec) -> LoadResult:
                 f"{result.reject_count} rows hold values that do not fit the target"
             )
         batch.where(quoted(report).isNotNull()).write.mode("overwrite").parquet(
-            f"{spec.reject_path.rstrip('/')}/batch_id={spec.batch_id}"
+            f"{spec.reject_path.rstrip('/')}/batch_id={spec.batch_id}/{target_folder(_target(spec))}"
         )
         batch = batch.where(quoted(report).isNull())
         result.transform_count -= result.reject_count
@@ -396,17 +427,11 @@ def _ingest(spark: SparkSession, spec: BatchSpec) -> LoadResult:
 
     if merges:
         result.operation = f"upsert {spec.merge}"
-        result.rows_out = _merge(spark, spec, batch)
+        result.rows_out = _merge(spark, spec, batch, run)
     elif inserts:
         result.operation = f"insert {spec.table_mode}"
         result.rows_out = result.transform_count
-        if not table_first and not insert_table(
-            batch,
-            spec.table,
-            spec.table_mode,
-            partition_by=spec.partition_by,
-            batch_id=spec.batch_id,
-        ):
+        if not table_first and not _insert(spec, batch):
             result.rows_out = 0
     elif curates:
         result.operation = f"write {spec.curated_mode}"

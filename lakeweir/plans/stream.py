@@ -14,13 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from lakeweir.functions.columns import blank_to_none, column_list
 from lakeweir.operators.names import strip_column_spaces
-from lakeweir.plans.batch import LoadResult
+from lakeweir.plans.batch import MERGES, LoadResult
 from lakeweir.sources.files import available_format
 from lakeweir.sources.history import record_load
 from lakeweir.sources.tables import register_table
 from lakeweir.streaming.schemas import evolve_schema
-from lakeweir.streaming.streams import append_stream, file_stream, validated_append
+from lakeweir.streaming.streams import (
+    append_stream,
+    file_stream,
+    merged_increments,
+    validated_append,
+)
 
 
 @dataclass
@@ -31,12 +37,20 @@ class StreamSpec:
     read as text by default, so that one that does not fit is seen and reported
     rather than nulled by the reader. Without it the stream's own schema, which
     may gain columns between runs, is the table's.
+
+    ``merge`` (``newest`` or ``soft``) merges each increment into ``table`` by ``keys``
+    instead of appending it; the versions of the table then live under ``path``.
     """
 
     source: str
     fmt: str
     path: str
     checkpoint: str
+    merge: str | None = None
+    keys: str | list[str] | None = None
+    recency: str | None = None
+    dedupe_batch: bool = False
+    partition_by: str | list[str] | None = None
     schema_path: str | None = None
     schema: T.StructType | str | None = None
     table: str | None = None
@@ -93,6 +107,22 @@ class _RowsRead(StreamingQueryListener):
         self.ended.set()
 
 
+def _check(spec: StreamSpec) -> None:
+    """Reject combinations that would quietly do nothing."""
+    if spec.merge is None:
+        if column_list(spec.keys):
+            raise ValueError("key columns are set but no merge is chosen")
+        return
+    if spec.merge not in MERGES:
+        raise ValueError(f"merge must be one of {MERGES}, not {spec.merge!r}")
+    if not spec.table or not column_list(spec.keys):
+        raise ValueError("a merging stream needs a table and key columns")
+    if spec.dedupe_batch and not blank_to_none(spec.recency):
+        raise ValueError("dedupe_batch needs a recency column")
+    if spec.dedupe:
+        raise ValueError("a merging stream reduces its increments with dedupe_batch")
+
+
 @contextmanager
 def _rows_read(spark: SparkSession):
     """Counts while streams run; events come in order, so the end is the last of them."""
@@ -110,6 +140,7 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
     A rerun on the same checkpoint adds nothing twice. Rows are not compared
     across increments: that would need state that grows for ever.
     """
+    _check(spec)
     fmt = available_format(spark, spec.sink_format)
     infer_types = spec.infer_types
     if infer_types is None:
@@ -137,7 +168,23 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
         **reading,
     )
     on_batch, totals = None, {}
-    if spec.target_schema is not None:
+    if spec.merge is not None:
+        on_batch = merged_increments(
+            spec.table,
+            spec.path,
+            spec.keys,
+            blank_to_none(spec.recency),
+            soft=spec.merge == "soft",
+            dedupe_batch=spec.dedupe_batch,
+            target=spec.target_schema,
+            reject_path=spec.reject_path,
+            history_root=spec.history_root,
+            load_id=spec.batch_id,
+            on_extra=spec.on_extra,
+            partition_by=spec.partition_by,
+            totals=totals,
+        )
+    elif spec.target_schema is not None:
         on_batch = validated_append(
             spec.path,
             spec.target_schema,
@@ -157,11 +204,11 @@ def ingest_stream(spark: SparkSession, spec: StreamSpec) -> LoadResult:
     if on_batch is not None:
         loaded = sum(rows for rows, _ in totals.values())
         rejected = sum(bad for _, bad in totals.values())
-    if spec.table:
+    if spec.table and spec.merge is None:
         _sync_table(spark, spec, spec.target_schema or strip_column_spaces(stream).schema)
     result = LoadResult(
         batch_id=spec.batch_id,
-        operation="stream append",
+        operation="stream append" if spec.merge is None else "stream merge",
         raw_count=loaded,
         source_count=loaded,
         transform_count=loaded - rejected,

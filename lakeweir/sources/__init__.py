@@ -8,6 +8,7 @@ from lakeweir.sources.tables import (
     create_schema,
     drop_schema,
     drop_table,
+    insert_batch,
     insert_table,
     publish,
     read_jdbc,
@@ -28,6 +29,7 @@ __all__ = [
     "dataset_path",
     "drop_schema",
     "drop_table",
+    "insert_batch",
     "insert_table",
     "load_history",
     "materialize",

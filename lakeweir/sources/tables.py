@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,18 @@ from lakeweir.operators.align import align_schema
 from lakeweir.operators.bounds import MAX_STRING_LENGTH, exceeds_bound
 from lakeweir.operators.layout import even_layout, hash_layout
 from lakeweir.sources.files import available_format, check_mode
-from lakeweir.sources.staging import stage
+from lakeweir.sources.staging import release, stage
 
 STAGING_PREFIX = "STG_"  # fixed value: name of the view a post-load statement reads
 
-# Table property that names the batch a table got last.
-BATCH_PROPERTY = "lakeweir.batch"
+# Table property that names a batch the table has; the batch's id follows.
+BATCH_PROPERTY = "lakeweir.batch."
+
+# Fixed value: the folder name of a null in a partition column.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+#: Column of tables that are laid out by the batch each row came with.
+BATCH_COLUMN = "ELT_BatchID"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -154,18 +161,28 @@ def _holds(spark: SparkSession, table: str, path: str) -> bool:
     return told.get("Type") == "MANAGED" and plain(path).startswith(plain(told["Location"]))
 
 
-def last_batch(spark: SparkSession, table: str) -> str | None:
-    """The batch that was last inserted into a table or replaced partitions of it."""
-    row = spark.sql(f"SHOW TBLPROPERTIES {table} ('{BATCH_PROPERTY}')").first()
-    # Spark answers in a sentence where the property is not set.
-    return row["value"] if row and " does not have property" not in row["value"] else None
+def batches_of(spark: SparkSession, table: str) -> set[str]:
+    """The batches that were inserted into a table, merged into it, or replaced partitions of it."""
+    kept = {
+        row["key"].removeprefix(BATCH_PROPERTY)
+        for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        if row["key"].startswith(BATCH_PROPERTY)
+    }
+    location = table_location(spark, table).rstrip("/")
+    head, _, version = location.rpartition("/v=")
+    return kept | {version} if head and "/" not in version else kept
 
 
-def mark_batch(spark: SparkSession, table: str, batch_id: str) -> None:
-    """Keep with the table which batch it has, so that a repeated load can tell."""
-    spark.sql(
-        f"ALTER TABLE {table} SET TBLPROPERTIES ('{BATCH_PROPERTY}' = {_literal(batch_id)})"
-    )
+def has_batch(spark: SparkSession, table: str, batch_id: str) -> bool:
+    """Whether a table has a batch, the last one or any before it."""
+    return batch_id in batches_of(spark, table)
+
+
+def mark_batch(spark: SparkSession, table: str, *batch_ids: str) -> None:
+    """Keep with the table which batches it has, so that a repeated load can tell."""
+    pairs = ", ".join(f"{_literal(BATCH_PROPERTY + b)} = 'loaded'" for b in batch_ids)
+    if pairs:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
 def staging_view_name(table: str) -> str:
@@ -220,16 +237,17 @@ def insert_table(
     ``post_sql`` the batch is not inserted but staged, and the statements move
     it on from the view ``STG_<table>``. Each hook is one statement or a list.
 
-    A table remembers the ``batch_id`` it got last: the same one again, as when a
-    failed load is repeated, inserts nothing and returns true. A batch that reads
-    the table it overwrites is refused by Spark; merge results go through
-    ``publish``.
+    A table remembers every ``batch_id`` it got: one of them again, as when a
+    load is repeated, runs no hook, inserts nothing and returns true. A failure
+    between the insert and the note of it is not covered: ``insert_batch`` does
+    that. A batch that reads the table it overwrites is refused by Spark; merge
+    results go through ``publish``.
     """
     check_mode(mode)
     spark = df.sparkSession
     pre, post = _statements(pre_sql), _statements(post_sql)
     exists = spark.catalog.tableExists(table)
-    if exists and batch_id is not None and last_batch(spark, table) == batch_id:
+    if exists and batch_id is not None and has_batch(spark, table, batch_id):
         return True
     if exists and mode == "ignore":
         return False
@@ -242,12 +260,16 @@ def insert_table(
         df = hash_layout(df, cluster_by)
     if post:
         view = staging_view_name(table)
-        stage(df, f"{view}-{uuid.uuid4().hex}").createOrReplaceTempView(view)
+        staged = f"{view}-{uuid.uuid4().hex}"
+        stage(df, staged).createOrReplaceTempView(view)
         try:
             for statement in post:
                 spark.sql(statement)
         finally:
             spark.catalog.dropTempView(view)
+            release(spark, staged)
+        if batch_id is not None and spark.catalog.tableExists(table):
+            mark_batch(spark, table, batch_id)
         return True
     if not spark.catalog.tableExists(table):
         sql = f"CREATE TABLE {table} ({table_columns_ddl(df.schema, max_len)}) USING parquet"
@@ -258,6 +280,72 @@ def insert_table(
     return True
 
 
+def _drop_batch(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Drop all partitions of a batch."""
+    own = f"PARTITION ({BATCH_COLUMN} = {_literal(batch_id)})"
+    specs = []
+    for row in spark.sql(f"SHOW PARTITIONS {table} {own}").collect():
+        parts = [part.split("=", 1) for part in row["partition"].split("/")]
+        values = [
+            f"`{unquote(name)}` = " + ("null" if value == NULL_PARTITION else _literal(unquote(value)))
+            for name, value in parts
+        ]
+        specs.append(f"PARTITION ({', '.join(values)})")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+
+
+def insert_batch(
+    df: DataFrame,
+    table: str,
+    batch_id: str,
+    partition_by: str | list[str] | None = None,
+    max_len: int = MAX_STRING_LENGTH,
+) -> int:
+    """Insert a batch exactly once into a table that is laid out by batch; returns its rows.
+
+    The table's first partition column is ``ELT_BatchID``. A batch owns the
+    partitions under its id and overwrites them, so loading any batch again, the
+    last one or one of long ago, after a success or a failure at any point,
+    replaces what it left and nothing else. There is no note to be missed. A
+    missing table is created, with ``partition_by`` below the batch.
+
+    Without ``partition_by`` the one partition of a batch is replaced when the
+    write is complete. With it, a repeated batch first gives up its partitions,
+    as it may not have rows for all of them again: readers miss its rows until the
+    write ends.
+    """
+    spark = df.sparkSession
+    wanted = [BATCH_COLUMN, *column_list(partition_by)]
+    own = f"PARTITION ({BATCH_COLUMN} = {_literal(batch_id)})"
+    if BATCH_COLUMN.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the batch has a column {BATCH_COLUMN} of its own")
+    if not spark.catalog.tableExists(table):
+        columns = f"{table_columns_ddl(df.schema, max_len)}, {BATCH_COLUMN} string"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{_partitioned_by(wanted)}")
+    parts = partition_columns(spark, table)
+    if not parts or parts[0].lower() != BATCH_COLUMN.lower():
+        raise ValueError(f"table {table} is not partitioned by {BATCH_COLUMN} first")
+    repeated = not spark.sql(f"SHOW PARTITIONS {table} {own}").isEmpty()
+    target = spark.table(table)
+    given = T.StructType([f for f in target.schema.fields if f.name.lower() != BATCH_COLUMN.lower()])
+    aligned, _ = align_schema(df, given, on_extra="error", cast="store")
+    if repeated and len(parts) > 1:
+        _drop_batch(spark, table, batch_id)
+    if len(parts) > 1:
+        aligned = hash_layout(aligned, parts[1:])
+    counted = Observation()
+    aligned = aligned.observe(counted, F.count(F.lit(1)).alias("rows"))
+    aligned = aligned.withColumn(BATCH_COLUMN, F.lit(batch_id)).select(*[quoted(c) for c in target.columns])
+    with _partition_overwrite(spark, "dynamic"):
+        aligned.write.insertInto(table, overwrite=True)
+    if repeated and not counted.get["rows"]:
+        # Nothing was written, so nothing was overwritten either.
+        _drop_batch(spark, table, batch_id)
+    spark.catalog.refreshTable(table)
+    return counted.get["rows"]
+
+
 def write_temp_table(
     df: DataFrame,
     name: str,
@@ -326,6 +414,8 @@ def publish(
             "characters"
         )
 
+    # Batches that the table had before it had this one.
+    before = batches_of(spark, table) if exists else set()
     if exists and not partition_by:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
     else:
@@ -336,6 +426,7 @@ def publish(
         register_table(
             spark, table, path, df.schema, partition_by=partition_by, max_len=max_len
         )
+    mark_batch(spark, table, *sorted(before))
     spark.catalog.refreshTable(table)
     return counted.get["rows"]
 

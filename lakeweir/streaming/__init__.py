@@ -5,6 +5,7 @@ from lakeweir.streaming.streams import (
     append_stream,
     file_stream,
     read_increments,
+    merged_increments,
     validated_append,
 )
 
@@ -16,5 +17,6 @@ __all__ = [
     "merge_schemas",
     "read_increments",
     "save_schema",
+    "merged_increments",
     "validated_append",
 ]

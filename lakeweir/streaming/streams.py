@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
 import uuid
+from collections.abc import Callable, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeweir.functions.columns import blank_to_none
-from lakeweir.operators.align import REJECTED, align_with_report
-from lakeweir.operators.dedupe import drop_duplicate_rows
+from lakeweir.functions.columns import blank_to_none, column_list
+from lakeweir.operators.align import REJECTED, REJECTED_TYPE, align_with_report
+from lakeweir.operators.dedupe import drop_duplicate_rows, latest_per_key
+from lakeweir.operators.merge import ACTIVE_FLAG, upsert, upsert_soft
 from lakeweir.operators.names import strip_column_spaces
 from lakeweir.sources.history import record_load
 from lakeweir.sources.staging import release, stage
+from lakeweir.sources.tables import has_batch, partition_columns, publish
 from lakeweir.streaming.schemas import evolve_schema
 
 
@@ -114,6 +116,51 @@ def append_stream(
     return query
 
 
+@contextmanager
+def _checked_increment(
+    increment: DataFrame,
+    batch_id: int,
+    target: T.StructType | None,
+    *,
+    reject_path: str | None,
+    load_id: str,
+    on_extra: str,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+):
+    """One evaluation of an increment, with misfits moved away and rows counted.
+
+    Gives ``(good rows, rows, rejected, stream id)``; the copy is freed afterwards.
+    The id is the one that Spark keeps in the stream's checkpoint.
+    """
+    if target is not None:
+        checked = align_with_report(increment, target, on_extra)
+    else:
+        checked = increment.withColumn(REJECTED, F.lit(None).cast(REJECTED_TYPE))
+    if shape is not None:
+        checked = shape(checked)
+    spark = increment.sparkSession
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or load_id
+    staged, seen = f"increment-{uuid.uuid4().hex}", Observation()
+    checked = checked.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECTED)).alias("rejected")
+    )
+    try:
+        checked = stage(checked, staged)
+        n, rejected = seen.get["rows"], seen.get["rejected"]
+        if rejected and reject_path is None:
+            raise ValueError(
+                f"increment {batch_id}: {rejected} rows do not fit the target "
+                "and no reject_path is set"
+            )
+        if rejected:
+            checked.where(F.col(REJECTED).isNotNull()).write.mode("overwrite").parquet(
+                f"{reject_path}/stream={stream}/batch_id={batch_id}"
+            )
+        yield checked.where(F.col(REJECTED).isNull()).drop(REJECTED), n, rejected, stream
+    finally:
+        release(spark, staged)
+
+
 def validated_append(
     path: str,
     target: T.StructType,
@@ -137,36 +184,21 @@ def validated_append(
     """
 
     def on_batch(increment: DataFrame, batch_id: int) -> None:
-        aligned = align_with_report(increment, target, on_extra)
-        if dedupe:
-            aligned = drop_duplicate_rows(aligned)
-        # One evaluation of the source files serves the counts and both writes.
         spark = increment.sparkSession
-        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or load_id
-        staged, seen = f"increment-{uuid.uuid4().hex}", Observation()
-        aligned = aligned.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECTED)).alias("rejected")
-        )
-        try:
-            aligned = stage(aligned, staged)
-            counts = seen.get
-            if counts["rejected"] and reject_path is None:
-                raise ValueError(
-                    f"increment {batch_id}: {counts['rejected']} rows do not fit the target "
-                    "and no reject_path is set"
-                )
-            good = counts["rows"] - counts["rejected"]
+        with _checked_increment(
+            increment,
+            batch_id,
+            target,
+            reject_path=reject_path,
+            load_id=load_id,
+            on_extra=on_extra,
+            shape=drop_duplicate_rows if dedupe else None,
+        ) as (good, n, rejected, stream):
             if totals is not None:
-                totals[batch_id] = (counts["rows"], counts["rejected"])
-            place = f"stream={stream}/batch_id={batch_id}"
-            if good:
-                aligned.where(F.col(REJECTED).isNull()).drop(REJECTED).write.mode(
-                    "overwrite"
-                ).format(fmt).save(f"{path}/{place}")
-            if counts["rejected"]:
-                aligned.where(F.col(REJECTED).isNotNull()).write.mode("overwrite").parquet(
-                    f"{reject_path}/{place}"
-                )
+                totals[batch_id] = (n, rejected)
+            if n - rejected:
+                place = f"{path}/stream={stream}/batch_id={batch_id}"
+                good.write.mode("overwrite").format(fmt).save(place)
             if history_root is not None:
                 record_load(
                     spark,
@@ -174,13 +206,93 @@ def validated_append(
                     f"{stream}-{batch_id}",
                     "stream append",
                     path,
-                    source_count=counts["rows"],
-                    transform_count=good,
-                    reject_count=counts["rejected"],
-                    rows_out=good,
+                    source_count=n,
+                    transform_count=n - rejected,
+                    reject_count=rejected,
+                    rows_out=n - rejected,
+                )
+
+    return on_batch
+
+
+def merged_increments(
+    table: str,
+    root: str,
+    keys: str | list[str],
+    recency: str | None = None,
+    *,
+    soft: bool = False,
+    dedupe_batch: bool = False,
+    target: T.StructType | None = None,
+    reject_path: str | None = None,
+    history_root: str | None = None,
+    load_id: str = "stream",
+    on_extra: str = "drop",
+    partition_by: str | list[str] | None = None,
+    totals: dict[int, tuple[int, int]] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """An ``on_batch`` for ``append_stream`` that merges each increment into a table.
+
+    Each increment is published as a version of its own, named by stream and
+    increment. The table remembers the versions it had: an increment that comes
+    again after it was published is left out, and one that failed before the
+    table was moved to it is merged anew over its half-written folder. Rows
+    that arrive late lose to newer ones by ``recency``, or with ``soft`` enter as
+    inactive. ``target`` turns on validation, as in ``validated_append``; the
+    first increment with rows makes the table where there is none. Streams into one
+    table must not run at the same time.
+    """
+
+    def on_batch(increment: DataFrame, batch_id: int) -> None:
+        spark = increment.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or load_id
+        version = f"{stream}-{batch_id}"
+        exists = spark.catalog.tableExists(table)
+        if exists and has_batch(spark, table, version):
+            return
+        with _checked_increment(
+            increment,
+            batch_id,
+            target,
+            reject_path=reject_path,
+            load_id=load_id,
+            on_extra=on_extra,
+        ) as (good, n, rejected, _):
+            if totals is not None:
+                totals[batch_id] = (n, rejected)
+            if n == rejected:
+                return
+            if soft and ACTIVE_FLAG.lower() not in {c.lower() for c in good.columns}:
+                good = good.withColumn(ACTIVE_FLAG, F.lit(1))
+            latest = f"latest-{uuid.uuid4().hex}"
+            try:
+                if dedupe_batch:
+                    # The merge reads its batch more than once.
+                    good = stage(latest_per_key(good, keys, recency), latest)
+                merged, parts = good, column_list(partition_by)
+                if exists:
+                    known = spark.table(table)
+                    names = {c.lower() for c in known.columns}
+                    if extra := [c for c in good.columns if c.lower() not in names]:
+                        raise ValueError(f"columns {extra} are not in table {table}")
+                    parts = partition_columns(spark, table)
+                    merge = upsert_soft if soft else upsert
+                    merged = merge(known, good.to(known.schema), keys, recency)
+                written = publish(merged, table, root, version, parts)
+            finally:
+                release(spark, latest)
+            if history_root is not None:
+                record_load(
+                    spark,
+                    history_root,
+                    version,
+                    "stream merge",
+                    table,
+                    source_count=n,
+                    transform_count=n - rejected,
+                    reject_count=rejected,
+                    rows_out=written,
                 )
-        finally:
-            release(spark, staged)
 
     return on_batch
 

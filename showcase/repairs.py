@@ -137,6 +137,76 @@ UNION ALL SELECT *, CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1 END, 'soft' FROM
 UNION ALL SELECT *, 1, 'soft' FROM customer WHERE c_custkey % 10 = 0"""
 
 
+def insert_post_sql_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that ends in SQL, started twice under one batch id, moves its rows on once."""
+    name = f"{scratch_schema(spark, 'post_sql_repeat')}.supplier"
+    supplier = table(spark, sf_dir, "supplier")
+    lw.insert_table(supplier.limit(0), name, "append")
+    for batch in ("one", "one", "two", "one"):
+        part = supplier.where(F.col("s_suppkey") % 2 == (0 if batch == "one" else 1))
+        statement = f"INSERT INTO {name} SELECT * FROM STG_supplier WHERE s_acctbal > 0"
+        lw.insert_table(part, name, "append", post_sql=statement, batch_id=batch)
+    return spark.table(name)
+
+
+INSERT_POST_SQL_REPEAT = "SELECT * FROM supplier WHERE s_acctbal > 0"
+
+
+def job_two_tables_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables loaded under one batch id, with one history: rows, and what the history says."""
+    history = f"{workspace(spark, 'two_tables')}/history"
+    counted = []
+    for name in ("customer", "supplier"):
+        loads = _Loads(spark, f"two_tables_{name}")
+        df = table(spark, sf_dir, name)
+        loads.load(df, "2024-05-01", history_root=history)
+        counted.append(loads.result(*df.columns).agg(F.lit(name).alias("name"), F.count("*").alias("n")))
+        loads.load(df, "2024-05-01", write=False, history_root=history)
+    said = lw.load_history(spark, history).select("load_id", "target", "rows_out")
+    held = counted[0].unionByName(counted[1])
+    # A table's schema has a name of this run; the label before it is fixed.
+    about = F.regexp_extract("target", "two_tables_([a-z]+)_", 1)
+    return held.join(said.select("load_id", about.alias("name"), "rows_out"), "name")
+
+
+JOB_TWO_TABLES_ONE_BATCH = """
+SELECT 'customer' AS name, count(*) AS n, '2024-05-01' AS load_id, count(*) AS rows_out FROM customer
+UNION ALL SELECT 'supplier', count(*), '2024-05-01', count(*) FROM supplier"""
+
+
+def job_repeat_earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches loaded again after later ones, and one whose first attempt failed after its insert.
+
+    Once into a table laid out by batch, whose batches replace themselves, and once
+    into one that keeps a note of each.
+    """
+    customer = table(spark, sf_dir, "customer")
+    out = []
+    for by_batch in (True, False):
+        loads = _Loads(spark, f"job_repeat_earlier_{int(by_batch)}")
+        how = {"by_batch": by_batch, "partition_by": "c_nationkey"}
+        parts = {f"b{i}": customer.where(F.col("c_custkey") % 3 == i) for i in range(3)}
+        loads.load(parts["b0"], "b0", **how)
+        # The lake folder is there already, so the first attempt fails after its insert.
+        lw.write_path(parts["b1"], f"{loads.root}/curated1/acme/b1")
+        lake = {"curated_folder": "b1", "curated_mode": "error"}
+        try:
+            loads.load(parts["b1"], "b1", **how, **lake)
+        except Exception as error:
+            if "PATH_ALREADY_EXISTS" not in str(error):
+                raise
+        loads.load(parts["b1"], "b1", write=False, **how)
+        loads.load(parts["b2"], "b2", **how)
+        for earlier in ("b0", "b1", "b0"):
+            loads.load(parts[earlier], earlier, write=False, **how)
+        out.append(loads.result(*customer.columns).withColumn("by_batch", F.lit(by_batch)))
+    return out[0].unionByName(out[1])
+
+
+JOB_REPEAT_EARLIER = """
+SELECT *, true AS by_batch FROM customer UNION ALL SELECT *, false FROM customer"""
+
+
 def align_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of structs by name; misfits inside arrays are seen."""
     orders = table(spark, sf_dir, "orders")
@@ -269,6 +339,9 @@ ENTRIES = {
     "job_soft_flag": (job_soft_flag, JOB_SOFT_FLAG),
     "job_misfits": (job_misfits, JOB_MISFITS),
     "job_extra_columns": (job_extra_columns, JOB_EXTRA_COLUMNS),
+    "insert_post_sql_repeat": (insert_post_sql_repeat, INSERT_POST_SQL_REPEAT),
+    "job_two_tables_one_batch": (job_two_tables_one_batch, JOB_TWO_TABLES_ONE_BATCH),
+    "job_repeat_earlier": (job_repeat_earlier, JOB_REPEAT_EARLIER),
     "job_repeat": (job_repeat, JOB_REPEAT),
     "align_nested": (align_nested, ALIGN_NESTED),
     "align_narrowing": (align_narrowing, ALIGN_NARROWING),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import lakeweir as lw
-from showcase.common import table, workspace
+from showcase.common import scratch_schema, table, workspace
+from showcase.merges import ORDER_BATCH, UPSERT_NEWEST, order_batch
 
 
 def _drops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -159,7 +160,82 @@ SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'run0' ELSE 'run1' END AS run,
 FROM events GROUP BY run"""
 
 
+def _forget_commit(spark: SparkSession, checkpoint: str, number: int) -> None:
+    """What a failure leaves between the end of an increment and the note of it."""
+    for name in (f"{number}", f".{number}.crc"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{name}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
+
+
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops merged by key, the second with updates and late rows; both increments come again."""
+    root, schema = workspace(spark, "stream_merge"), scratch_schema(spark, "stream_merge")
+    orders = table(spark, sf_dir, "orders")
+    spec = lw.StreamSpec(
+        source=f"{root}/in",
+        fmt="parquet",
+        path=f"{root}/versions",
+        checkpoint=f"{root}/checkpoint",
+        schema=orders.schema,
+        table=f"{schema}.orders",
+        merge="newest",
+        keys="o_orderkey",
+        recency="o_orderdate",
+    )
+    for number, drop in enumerate((orders, order_batch(orders))):
+        drop.write.parquet(f"{root}/in/{number}")
+        lw.ingest_stream(spark, spec)
+        _forget_commit(spark, spec.checkpoint, number)
+        lw.ingest_stream(spark, spec)
+    return spark.table(f"{schema}.orders")
+
+
+STREAM_MERGE = UPSERT_NEWEST
+
+
+def stream_merge_soft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_merge`` from JSON, with history kept and misfits moved away."""
+    root, schema = workspace(spark, "stream_merge_soft"), scratch_schema(spark, "stream_merge_soft")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    late = order_batch(table(spark, sf_dir, "orders")).select(*orders.columns)
+    bad = orders.limit(1).select(
+        F.lit("no number").alias("o_orderkey"), "o_orderstatus", F.col("o_orderdate").cast("string")
+    )
+    drops = [df.withColumns({c: F.col(c).cast("string") for c in df.columns}) for df in (orders, late)]
+    spec = lw.StreamSpec(
+        source=f"{root}/in",
+        fmt="json",
+        path=f"{root}/versions",
+        checkpoint=f"{root}/checkpoint",
+        schema_path=f"{root}/schema",
+        target_schema=orders.schema,
+        reject_path=f"{root}/rejects",
+        table=f"{schema}.orders",
+        merge="soft",
+        keys="o_orderkey",
+        recency="o_orderdate",
+    )
+    for number, drop in enumerate(drops):
+        drop.unionByName(bad).write.json(f"{root}/in/{number}")
+        lw.ingest_stream(spark, spec)
+    return spark.table(f"{schema}.orders")
+
+
+STREAM_MERGE_SOFT = f"""
+WITH s AS (SELECT o_orderkey, o_orderstatus, o_orderdate FROM ({ORDER_BATCH}))
+SELECT t.o_orderkey, t.o_orderstatus, t.o_orderdate,
+       CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey
+         AND s.o_orderdate >= t.o_orderdate) THEN 0 ELSE 1 END AS "ELT_ActiveFlag"
+FROM orders t
+UNION ALL
+SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = s.o_orderkey
+         AND t.o_orderdate > s.o_orderdate) THEN 0 ELSE 1 END
+FROM s"""
+
+
 ENTRIES = {
+    "stream_merge": (stream_merge, STREAM_MERGE),
+    "stream_merge_soft": (stream_merge_soft, STREAM_MERGE_SOFT),
     "stream_append": (stream_append, STREAM_APPEND),
     "stream_json_documents": (stream_json_documents, STREAM_JSON_DOCUMENTS),
     "stream_evolve": (stream_evolve, STREAM_EVOLVE),

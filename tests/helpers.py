@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+import lakeweir as lw
+
 
 def rows(df):
     """The rows of a frame as a multiset, whatever their order."""
@@ -18,3 +20,10 @@ def final_plan(df):
 
 def count_in(plan, pattern):
     return len(re.findall(pattern, plan))
+
+
+def staged_folders(spark):
+    """Names of what is staged in the shared folder at the moment."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{lw.shared_dir(spark)}/lakeweir-stage")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(where)} if fs.exists(where) else set()

@@ -2,13 +2,15 @@
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import lakeweir as lw
 from lakeweir.sources.tables import partition_columns
-from tests.helpers import rows
+from tests.helpers import rows, staged_folders
 
 AT = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
 
@@ -267,3 +269,19 @@ def test_the_source_is_evaluated_once(spark, schema, tmp_path, monkeypatch, cura
     assert 100 <= seen.value <= 200
     assert spark.table(f"{schema}.t").count() == 50
     assert spark.table(f"{schema}.t").where(F.col("at") == 1).count() == 50
+
+
+def test_loads_of_two_tables_under_one_batch_id_keep_apart(spark, schema, tmp_path):
+    before = staged_folders(spark)
+    land(tmp_path, "1.csv", "id,v\n" + "".join(f"{i},{i}\n" for i in range(40)) + "x,bad\n")
+    shared = {"target_schema": T.StructType.fromDDL("id int, v string"), "on_reject": "quarantine"}
+    shared |= {"reject_path": f"{tmp_path}/rejects", "history_root": f"{tmp_path}/history", "batch_id": "day"}
+    loads = [spec(tmp_path, "1.csv", table=f"{schema}.t{i}", **shared) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(lambda load: lw.ingest_batch(spark, load), loads))
+    assert {(r.transform_count, r.reject_count) for r in results} == {(40, 1)}
+    assert all(spark.table(f"{schema}.t{i}").count() == 40 for i in range(4))
+    history = lw.load_history(spark, f"{tmp_path}/history")
+    assert {r["target"] for r in history.collect()} == {f"{schema}.t{i}" for i in range(4)}
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 4
+    assert staged_folders(spark) == before

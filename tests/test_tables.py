@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import lakeweir as lw
 from lakeweir.sources import tables
-from tests.helpers import final_plan, rows
+from tests.helpers import final_plan, rows, staged_folders
 
 
 def people(spark, *items):
@@ -241,6 +241,48 @@ def test_the_same_batch_is_inserted_once(spark, schema):
         assert lw.insert_table(people(spark, (1, "a")), name, "append", batch_id=batch)
     assert rows(spark.table(name)) == {(1, "a"): 2}
     assert not lw.insert_table(people(spark, (1, "a")), name, "ignore", batch_id="three")
+    # An earlier batch is remembered as well as the last one.
+    assert lw.insert_table(people(spark, (1, "a")), name, "append", batch_id="one")
+    assert rows(spark.table(name)) == {(1, "a"): 2}
+
+
+def test_a_load_that_ends_in_sql_runs_once_and_frees_its_copy(spark, schema):
+    name, before = f"{schema}.p", staged_folders(spark)
+    lw.insert_table(people(spark), name, "append")
+    for batch in ("one", "one", "two", "one"):
+        sql = f"INSERT INTO {name} SELECT * FROM STG_p"
+        assert lw.insert_table(people(spark, (1, "a")), name, "append", post_sql=sql, batch_id=batch)
+    assert rows(spark.table(name)) == {(1, "a"): 2}
+    with pytest.raises(Exception, match="no_such_table"):
+        lw.insert_table(people(spark, (1, "a")), name, "append", post_sql="INSERT INTO no_such_table SELECT * FROM STG_p", batch_id="three")
+    assert staged_folders(spark) == before
+
+
+@pytest.mark.parametrize("partition_by", [None, "name"])
+def test_any_batch_replaces_itself(spark, schema, partition_by):
+    name = f"{schema}.b"
+    assert lw.insert_batch(people(spark, (1, "a"), (2, "b/%"), (5, None)), name, "it's one", partition_by) == 3
+    assert lw.insert_batch(people(spark, (3, "a")), name, "two", partition_by) == 1
+    # Again with other rows, of which none is in the partition of b any more.
+    assert lw.insert_batch(people(spark, (1, "A"), (9, "a")), name, "it's one", partition_by) == 2
+    assert rows(spark.table(name).select("id", "name")) == {(1, "A"): 1, (9, "a"): 1, (3, "a"): 1}
+    assert lw.insert_batch(people(spark), name, "it's one", partition_by) == 0
+    assert rows(spark.table(name).select("id", "name", "ELT_BatchID")) == {(3, "a", "two"): 1}
+    with pytest.raises(ValueError, match="column"):
+        lw.insert_batch(spark.table(name), name, "three")
+    lw.insert_table(people(spark, (1, "a")), f"{schema}.plain", "append")
+    with pytest.raises(ValueError, match="partitioned"):
+        lw.insert_batch(people(spark, (1, "a")), f"{schema}.plain", "one")
+
+
+def test_a_merged_table_remembers_all_batches(spark, schema, tmp_path):
+    name = f"{schema}.m"
+    for batch in ("one", "two", "three"):
+        lw.publish(people(spark, (1, batch)), name, f"{tmp_path}/m", batch)
+    assert tables.batches_of(spark, name) == {"one", "two", "three"}
+    for batch in ("one", "two"):
+        lw.publish(people(spark, (1, batch)), f"{name}p", f"{tmp_path}/mp", batch, partition_by="name")
+    assert tables.batches_of(spark, f"{name}p") == {"one", "two"}
 
 
 # --- lifecycle ---------------------------------------------------------------
@@ -269,6 +311,12 @@ def test_history_has_one_row_per_load(spark, tmp_path):
     lw.record_load(spark, root, "002", "upsert", "t", raw_count=5)
     history = lw.load_history(spark, root).select("load_id", "operation", "raw_count", "rows_out")
     assert rows(history) == {("001", "insert", None, 2): 1, ("002", "upsert", 5, None): 1}
+    # Another target under the same id has a row of its own; rows of the former layout are read too.
+    lw.record_load(spark, root, "001", "insert", "u", rows_out=7)
+    old = spark.read.parquet(f"{root}/load_id=002").drop("target", "load_id").withColumn("target", F.lit("v"))
+    old.write.parquet(f"{root}/load_id=003")
+    history = lw.load_history(spark, root).select("load_id", "target", "rows_out")
+    assert rows(history) == {("001", "t", 2): 1, ("001", "u", 7): 1, ("002", "t", None): 1, ("003", "v", None): 1}
 
 
 # --- intermediate storage ----------------------------------------------------
