@@ -10,8 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from lakeweir.functions.columns import comparable, quoted
 from lakeweir.llm.common import prepared, read_table, saved, shared_folder
 from lakeweir.llm.langid import held_out, train, with_language
 from lakeweir.llm.mixing import mixed
@@ -20,20 +20,29 @@ from lakeweir.llm.postings import contamination
 from lakeweir.llm.queries import END_ID, WORD_BPE
 from lakeweir.llm.repair import token_files
 from lakeweir.llm.tokens import tokenizer_source
+from lakeweir.operators.dedupe import drop_duplicate_rows
 
 #: Documents with this share of their runs of so many words in common, in percent, are near copies.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+#: Copies of one row that a task makes at a time.
+COPIES_AT_ONCE = 1000
+
+
 def _row_key(docs: DataFrame):
-    return F.xxhash64(*docs.columns)
+    """A hash of all columns, whatever their names and types; maps count as sorted entries."""
+    return F.xxhash64(*[comparable(quoted(f.name), f.dataType) for f in docs.schema.fields])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: texts without a letter, and texts that do not fit the language they are most like, go."""
     code, score, fits = "__lang_pred", "__lang_score", "__lang_fits"
-    known = with_language(docs, train(docs.select("doc_id", "text", "lang"), ~held_out()), code, score, fits)
-    return known.where(F.col(fits)).drop(code, score, fits)
+    model = train(docs.select("doc_id", "text", "lang"), ~held_out())
+    # Python tasks take columns by names without dots.
+    names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    known = with_language(docs.toDF(*names), model, code, score, fits)
+    return known.where(F.col(fits)).drop(code, score, fits).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +61,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = docs.join(gone, key == gone["__gone"], "left_anti")
     marked = kept.join(twice, key == twice["__twice"], "left")
     once = marked.where("__twice IS NULL").drop("__twice")
-    return once.unionByName(marked.where("__twice IS NOT NULL").drop("__twice").distinct())
+    return once.unionByName(drop_duplicate_rows(marked.where("__twice IS NOT NULL").drop("__twice")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,13 +81,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = taken.groupBy("__key").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
     taken = taken.where("__copies > 0").withColumnRenamed("__key", "__of")
     joined = keyed.join(taken, keyed["__key"] == taken["__of"])
-    alone = joined.where("__rows = 1").withColumn("__own", F.col("__copies"))
-    place = F.row_number().over(Window.partitionBy("__of").orderBy("__key"))
-    many = joined.where("__rows > 1").withColumn("__place", place)
-    own = F.expr("(__copies div __rows) + cast(__place <= __copies % __rows AS INT)")
-    many = many.withColumn("__own", own).drop("__place").where("__own > 0")
-    repeated = alone.unionByName(many).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__own").cast("int"))))
-    return repeated.select(*docs.columns)
+    alone = joined.where("__rows = 1").withColumn("__copy", F.explode(F.expr("sequence(1, cast(__copies AS INT))")))
+    # Equal rows are one row with all of their copies, made in portions that tasks can share.
+    portion = F.explode(F.expr(f"sequence(0L, (__copies - 1) div {COPIES_AT_ONCE})")).alias("__portion")
+    many = taken.where("__rows > 1").select("__of", "__copies", portion)
+    own = F.expr(f"least(__copies - __portion * {COPIES_AT_ONCE}, {COPIES_AT_ONCE})").cast("int")
+    one = drop_duplicate_rows(joined.where("__rows > 1").select(*[quoted(c) for c in docs.columns], "__key"), "__key")
+    many = one.join(many, one["__key"] == many["__of"]).withColumn("__copy", F.explode(F.sequence(F.lit(1), own)))
+    columns = [quoted(c) for c in docs.columns]
+    return alone.select(*columns).unionByName(many.select(*columns))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
