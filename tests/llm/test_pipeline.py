@@ -88,3 +88,26 @@ def test_text_of_no_learned_language_goes(spark, corpus):
     known = stage("language_id")(spark, docs.unionByName(more), corpus)
     assert {r["doc_id"] for r in docs.unionByName(more).exceptAll(known).collect()} == {103, 104, None, 300, 301, 302}
     assert docs.count() - known.count() == 3
+
+
+def test_extra_columns_of_any_name_and_type(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    docs = docs.withColumns({"a.b": F.col("doc_id"), "m": F.create_map(F.lit("k"), F.col("text")), "__x y": F.array(F.struct(F.lit(1).alias("doc_id")))})
+    docs = docs.unionAll(docs.where("doc_id = 7"))
+    plain = docs.drop("a.b", "m", "__x y")
+    for name, _ in pipeline.STAGES[:4]:
+        out = stage(name)(spark, docs, corpus)
+        assert out.columns == docs.columns, name
+        if name != "mixing":
+            assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, stage(name)(spark, plain, corpus).select("doc_id", "text").collect()))
+        else:
+            assert {r["a.b"] for r in out.collect()} <= {r["doc_id"] for r in docs.collect()}
+
+
+def test_copies_of_equal_rows(spark, tmp_path, monkeypatch):
+    # A source of equal rows alone: its copies come in portions and add up to its share.
+    monkeypatch.setattr(pipeline, "COPIES_AT_ONCE", 7)
+    rows = [(1, "same words here", "en", "a", 3)] * 50 + [(i, f"{i} other words", "en", "b", 3) for i in range(50)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    out = stage("mixing")(spark, docs, str(tmp_path)).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in out} == {"a": 33, "b": 67}
