@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -61,6 +62,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system, so that a worker kept for later holds little.
+
+    Where the C library has no such call, it is left to that library.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same task, which gives memory back when it ends."""
+
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def freed(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

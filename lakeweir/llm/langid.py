@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import text_slices
+from lakeweir.llm.common import SLICE_BYTES, text_slices, tidy
 
 #: Language families by ISO 639-1 code. Codes not listed form one more family.
 FAMILIES = {
@@ -44,6 +44,8 @@ FEATURES = 1 << 15
 LONGEST = 3
 #: At most so many labelled documents of each language are fitted on.
 FIT_PER_LANGUAGE = 800
+#: Weights that a prediction gathers at a time.
+GATHERED = 1 << 22
 #: A text fits its language down to this multiple of how far this share of the learned texts lies below their median.
 FIT_REACH, FIT_SHARE = 2.5, 0.005
 #: Standard errors that a short text may lie lower.
@@ -129,6 +131,30 @@ class Model:
     least: np.ndarray = field(default_factory=lambda: np.zeros(0))
     spread: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
+    def _sums(self, feature: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sums of each text's weights, gathered for a bounded number of n-grams at a time.
+
+        A text longer than that is summed in parts counted from its own start, so equal texts have equal sums.
+        """
+        sums = np.zeros((len(counts), len(self.biases)))
+        step = max(1, GATHERED // max(1, len(self.biases)))
+        bounds = np.concatenate(([0], np.cumsum(counts)))
+        some = np.flatnonzero(counts)
+        i = 0
+        while i < len(some):
+            first = bounds[some[i]]
+            j = int(np.searchsorted(bounds[some + 1], first + step, side="right"))
+            if j > i:
+                rows = some[i:j]
+                sums[rows] = np.add.reduceat(self.weights[feature[first : bounds[rows[-1] + 1]]], bounds[rows] - first, axis=0, dtype=np.float64)
+                i = j
+            else:
+                last = bounds[some[i] + 1]
+                for a in range(first, last, step):
+                    sums[some[i]] += self.weights[feature[a : min(a + step, last)]].sum(axis=0, dtype=np.float64)
+                i += 1
+        return sums
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The language of each text, a score from 0 to 1, and whether the text fits the language.
 
@@ -141,11 +167,7 @@ class Model:
         if not self.languages:
             return ["und"] * n, np.zeros(n), np.zeros(n, bool)
         counts = np.bincount(owner, minlength=n)
-        sums = np.zeros((n, len(self.biases)))
-        some = np.flatnonzero(counts)
-        if len(some):
-            starts = np.concatenate(([0], np.cumsum(counts)))[some]
-            sums[some] = np.add.reduceat(self.weights[feature], starts, axis=0, dtype=np.float64)
+        sums = self._sums(feature, counts)
         margins = sums / np.maximum(counts, 1)[:, None] + self.biases
         families = margins[:, : len(self.families)]
         family = families.argmax(axis=1)
@@ -266,12 +288,12 @@ def with_language(docs: DataFrame, model: Model, language: str, score: str, fits
 
     def work(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES // 4):
                 codes, scores, fitting = model.predict(part.column("text").to_pylist())
                 columns = [*part.columns, pa.array(codes, pa.string()), pa.array(scores), pa.array(fitting)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, language, score, fits])
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(tidy(work), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeweir.llm.common import saved, text_slices
+from lakeweir.llm.common import saved, text_slices, tidy
 from lakeweir.llm.tokens import ENCODE_BYTES, encoder
 
 #: Ids in a shard; one document of more makes a larger shard.
@@ -216,7 +216,7 @@ class TokenFiles:
         texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
         sorted_texts = texts.repartitionByRange(order[0]).sortWithinPartitions(*order)
-        sorted_texts.mapInArrow(work, _SHARD.format(id=kind)).write.option("compression", "zstd").parquet(path)
+        sorted_texts.mapInArrow(tidy(work), _SHARD.format(id=kind)).write.option("compression", "zstd").parquet(path)
         return cls(docs.sparkSession, path)
 
     def shards(self) -> DataFrame:
@@ -257,7 +257,7 @@ class TokenFiles:
                         [doc_ids, pa.array(starts[:-1] + shard["before"].as_py()), pa.array(lengths), blob], names=["doc_id", "start", "n_tokens", "ids"]
                     )
 
-        return shards.mapInArrow(work, f"doc_id {kind}, start long, n_tokens long, ids binary")
+        return shards.mapInArrow(tidy(work), f"doc_id {kind}, start long, n_tokens long, ids binary")
 
     def slices(self, wanted: DataFrame) -> DataFrame:
         """``(first, last, ids)`` for ranges of positions in the whole sequence of ids.

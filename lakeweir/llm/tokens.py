@@ -25,12 +25,13 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
+from lakeweir.llm.common import give_back
 from lakeweir.llm.words import LOWER, SPACE, separators, text_bytes
 
 #: Units that came again, whose ids a worker keeps: at most twice so many.
-KEPT_UNITS = 200_000
+KEPT_UNITS = 100_000
 #: Bytes of text that are encoded at a time: the more, the more units are the same.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 
 #: The form of a tokenizer whose words can be encoded one by one.
 _BY_WORD = {
@@ -274,6 +275,7 @@ def encoder(source: str) -> Iterator[Encoder]:
         yield _ENCODERS[key]
     finally:
         _ENCODERS[key].forget()
+        give_back()
 
 
 def tokenizer_source(path: str) -> str:

@@ -1,9 +1,11 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lakeweir.llm import langid
 from lakeweir.llm.langid import identified
 
 SOUNDS = {
@@ -54,3 +56,30 @@ def test_awkward_rows(awkward, labelled):
 def test_nothing_to_learn_from(frame):
     assert [(r["lang_pred"], r["score"]) for r in identified(frame([(1, "some text")])).collect()] == [("und", 0.0)]
     assert identified(frame([])).collect() == []
+
+
+def test_many_languages_and_a_long_text_fit_in_memory(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    languages = [f"l{i}" for i in range(76)]
+    families = [list(range(i, i + 4)) for i in range(0, 76, 4)]
+    pairs = [(a, b) for f in families for a in f for b in f if a < b]
+    k = len(families) + len(pairs)
+    model = langid.Model(
+        languages, families, pairs, rng.normal(size=(langid.FEATURES, k)).astype(np.float32), np.zeros(k),
+        np.full((76, langid.FEATURES), -8, np.float32), np.full(76, -100.0), np.ones(76),
+    )
+    texts = ["ein langer text " * 16_000, "kurz", None, "ein langer text " * 16_000]
+    tracemalloc.start()
+    codes, scores, _ = model.predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert codes[0] == codes[3] and scores[0] == scores[3] and codes[2] == "und"
+    # The same sums in small parts.
+    feature, owner, _ = langid.hashed_grams(texts[1:3] + ["noch ein text"] * 3)
+    counts = np.bincount(owner, minlength=5)
+    whole = model._sums(feature, counts)
+    monkeypatch.setattr(langid, "GATHERED", 5 * k)
+    assert np.allclose(model._sums(feature, counts), whole) and whole[0].any() and not whole[1].any()
