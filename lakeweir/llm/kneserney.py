@@ -4,6 +4,9 @@ The model is over characters, interpolated down to single ones. Counts live in
 tables sharded by n-gram. A document's n-grams meet them in joins: texts are
 dealt into chunks, each chunk's distinct n-grams are joined with the model, and
 the log-probabilities come back to the chunk, where every text adds up its own.
+
+Texts are dealt into folds, and each is scored by the model of all trusted text
+outside its fold. The models share their tables: a row has one column per fold.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ ORDER = 4
 CHUNK_CHARS = 12_000_000
 #: Documents above this quantile of the trusted ones of their language are rejected.
 KEEP_QUANTILE = 0.995
-#: One of so many trusted documents is kept from training, for the quantiles.
-HELD_BACK = 4
+#: Folds of texts. A text's fold comes from its content, so copies share one.
+FOLDS = 4
 #: Steps of log-perplexity that quantiles are counted in.
 STEPS = 2000
 #: Stands before each text, so that its first character has a context.
@@ -59,15 +62,30 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return points, place, owner
 
 
+def _fold() -> Column:
+    return F.pmod(F.coalesce(F.crc32("text"), F.lit(0)), F.lit(FOLDS)).cast("int").alias("fold")
+
+
+def _per_fold(column) -> list[Column]:
+    """The columns of all folds, each as ``column`` makes it from the fold's number."""
+    return [column(i) for i in range(FOLDS)]
+
+
 class _Distinct:
-    """The distinct n-grams of a task with their counts, gathered slice by slice."""
+    """The distinct n-grams of a task with their counts by fold, gathered slice by slice."""
 
     def __init__(self):
-        self.hashes, self.grams, self.counts = np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
-
-    def add(self, texts: list[str | None]):
-        points, place, _ = _grams(texts)
-        h, first, n = np.unique(_hashes(points)[place], return_index=True, return_counts=True)
+        self.hashes, self.grams, self.counts = np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros((0, FOLDS), np.int64)
+
+    def add(self, texts: list[str | None], folds: np.ndarray | None = None):
+        """Take in texts; without ``folds`` n-grams are not counted."""
+        points, place, owner = _grams(texts)
+        if folds is None:
+            h, first = np.unique(_hashes(points)[place], return_index=True)
+            n = np.zeros((len(h), FOLDS), np.int64)
+        else:
+            h, first, of = np.unique(_hashes(points)[place], return_index=True, return_inverse=True)
+            n = np.bincount(of * FOLDS + folds[owner], minlength=len(h) * FOLDS).reshape(-1, FOLDS)
         at = np.searchsorted(self.hashes, h)
         known = np.zeros(len(h), bool)
         inside = at < len(self.hashes)
@@ -86,32 +104,51 @@ class _Distinct:
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """``(gram, n)``: how often each run of :data:`ORDER` characters occurs in ``text``; tasks add up their own first."""
+    """``(gram, n0, n1, ...)``: how often each run of :data:`ORDER` characters occurs in ``text`` outside each fold.
+
+    Tasks add up their own first. A fold that has all the text is not left out.
+    """
 
     def work(batches):
         found = _Distinct()
         for batch in batches:
             for part in text_slices(batch, "text"):
-                found.add(part.column("text").to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(found.strings(), pa.string()), pa.array(found.counts)], names=["gram", "n"])
-
-    return texts.select("text").mapInArrow(work, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """The three discounts of a table of counts, from how many counts are 1, 2, 3 and 4."""
-    n1, n2, n3, n4 = counts.agg(*[F.count(F.when(F.col("n") == i, 1)) for i in (1, 2, 3, 4)]).first()
-    if not (n1 and n2 and n3):  # too little text to tell: halve what a single count is worth
-        return [0.5, 0.5, 0.5]
-    y = n1 / (n1 + 2 * n2)
-    return [min(i, max(0.05, v)) for i, v in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * (n4 or 0) / n3))]
+                found.add(part.column("text").to_pylist(), part.column("fold").to_numpy())
+        counts = [pa.array(np.ascontiguousarray(found.counts[:, i])) for i in range(FOLDS)]
+        yield pa.RecordBatch.from_arrays([pa.array(found.strings(), pa.string()), *counts], names=["gram", *names])
+
+    names = [f"c{i}" for i in range(FOLDS)]
+    own = texts.select("text", _fold()).mapInArrow(work, "gram string, " + ", ".join(f"{c} long" for c in names))
+    own = saved(own.groupBy("gram").agg(*[F.sum(c).alias(c) for c in names]), "own")
+    sums = own.agg(*[F.sum(c).alias(c) for c in names]).first()
+    everything = "+".join(names)
+    whole = [sum(1 for c in sums if c) < 2] * FOLDS
+    return own.select("gram", *_per_fold(lambda i: F.expr(everything if whole[i] else f"{everything} - c{i}").alias(f"n{i}")))
+
+
+def _discounts(counts: DataFrame) -> list[list[float]]:
+    """For each fold the three discounts of a table of counts, from how many counts are 1, 2, 3 and 4."""
+    found = list(counts.agg(*[F.count(F.when(F.col(f"n{i}") == j, 1)) for i in range(FOLDS) for j in (1, 2, 3, 4)]).first())
+    out = []
+    for i in range(FOLDS):
+        n1, n2, n3, n4 = found[4 * i : 4 * i + 4]
+        if not (n1 and n2 and n3):  # too little text to tell: halve what a single count is worth
+            out.append([0.5, 0.5, 0.5])
+            continue
+        y = n1 / (n1 + 2 * n2)
+        out.append([min(j, max(0.05, v)) for j, v in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3))])
+    return out
 
 
 class KneserNey:
-    """Tables of an interpolated model: for each order, ``(gram, p)`` of seen n-grams and ``(context, weight)`` of back-off."""
+    """Tables of interpolated models, one per fold that they leave out.
+
+    For each order ``(gram, p0, p1, ...)`` of seen n-grams and ``(context,
+    weight0, ...)`` of back-off, null where a model has not seen the context.
+    """
 
-    def __init__(self, seen: list[DataFrame], backoff: list[DataFrame], floor: float):
-        self.seen, self.backoff, self.floor = seen, backoff, floor
+    def __init__(self, seen: list[DataFrame], backoff: list[DataFrame], floors: list[float]):
+        self.seen, self.backoff, self.floors = seen, backoff, floors
 
     @classmethod
     def train(cls, trusted: DataFrame) -> KneserNey:
@@ -121,50 +158,58 @@ class KneserNey:
         different characters seen before them. Characters never seen share the
         mass of one more.
         """
+        n = lambda i: F.col(f"n{i}")
         tables = [saved(gram_counts(trusted), "counts")]
         for _ in range(ORDER - 1):
-            shorter = tables[-1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))
+            shorter = tables[-1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*_per_fold(lambda i: F.count(F.when(n(i) > 0, 1)).alias(f"n{i}")))
             tables.append(saved(shorter, "counts"))
         tables.reverse()  # by order: single characters first
-        floor = 1.0 / (tables[0].count() + 1)
+        floors = [1.0 / (c + 1) for c in tables[0].agg(*_per_fold(lambda i: F.count(F.when(n(i) > 0, 1)))).first()]
         seen, backoff = [], []
         for k, counts in enumerate(tables, 1):
             d = _discounts(counts)
             context = F.expr("left(gram, char_length(gram) - 1)")
-            discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-            contexts = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.sum(discount).alias("mass"))
-            contexts = saved(contexts.select("context", "total", (F.col("mass") / F.col("total")).alias("weight")), "contexts")
+            discounts = _per_fold(lambda i, d=d: F.when(n(i) == 0, 0.0).when(n(i) == 1, d[i][0]).when(n(i) == 2, d[i][1]).otherwise(d[i][2]))
+            sums = [c for i in range(FOLDS) for c in (F.sum(n(i)).alias(f"total{i}"), F.sum(discounts[i]).alias(f"mass{i}"))]
+            contexts = counts.groupBy(context.alias("context")).agg(*sums)
+            weights = _per_fold(lambda i: F.expr(f"CASE WHEN total{i} > 0 THEN mass{i} / total{i} END").alias(f"weight{i}"))
+            contexts = saved(contexts.select("context", *_per_fold(lambda i: F.col(f"total{i}")), *weights), "contexts")
             rows = counts.withColumns({"context": context, "rest": F.expr("substring(gram, 2)")}).join(contexts, "context")
-            if k == 1:
-                lower = F.lit(floor)
-            else:
-                rows = rows.join(seen[-1].select(F.col("gram").alias("rest"), F.col("p").alias("lower")), "rest")
-                lower = F.col("lower")
-            p = (F.col("n") - discount) / F.col("total") + F.col("weight") * lower
-            seen.append(saved(rows.select("gram", p.alias("p")), "seen"))
-            backoff.append(contexts.select("context", "weight"))
-        return cls(seen, backoff, floor)
+            if k > 1:
+                rows = rows.join(seen[-1].select(F.col("gram").alias("rest"), *_per_fold(lambda i: F.col(f"p{i}").alias(f"lower{i}"))), "rest")
+            lower = _per_fold(lambda i, k=k: F.col(f"lower{i}") if k > 1 else F.lit(floors[i]))
+            p = _per_fold(
+                lambda i, discounts=discounts, lower=lower: F.when(
+                    F.col(f"total{i}") > 0, (n(i) - discounts[i]) / F.col(f"total{i}") + F.col(f"weight{i}") * lower[i]
+                ).otherwise(lower[i]).alias(f"p{i}")
+            )
+            seen.append(saved(rows.select("gram", *p), "seen"))
+            backoff.append(contexts.select("context", *_per_fold(lambda i: F.col(f"weight{i}"))))
+        return cls(seen, backoff, floors)
 
     def log_probability(self, grams: DataFrame) -> DataFrame:
-        """``(gram, logp)``: that of the last character of each distinct n-gram given those before it."""
-        p: Column = F.lit(self.floor)
+        """The rows with ``logp0``, ``logp1``, ...: that of the last character of each ``gram`` given those before it."""
+        p = [F.lit(floor) for floor in self.floors]
         out = grams
         for k in range(1, ORDER + 1):
             own, context = f"right(gram, {k})", f"left(right(gram, {k}), {k - 1})"
-            table = self.seen[k - 1].select(F.col("gram").alias(f"g{k}"), F.col("p").alias(f"p{k}"))
-            weights = self.backoff[k - 1].select(F.col("context").alias(f"c{k}"), F.col("weight").alias(f"w{k}"))
-            out = out.join(table, F.expr(f"{own} = g{k}"), "left").join(weights, F.expr(f"{context} = c{k}"), "left")
-            p = F.coalesce(F.col(f"p{k}"), F.coalesce(F.col(f"w{k}"), F.lit(1.0)) * p)
-        return out.select("gram", F.log(p).alias("logp"))
+            table = self.seen[k - 1].select(F.col("gram").alias("g"), *_per_fold(lambda i, k=k: F.col(f"p{i}").alias(f"p{k}_{i}")))
+            weights = self.backoff[k - 1].select(F.col("context").alias("c"), *_per_fold(lambda i, k=k: F.col(f"weight{i}").alias(f"w{k}_{i}")))
+            out = out.join(table, F.expr(f"{own} = g"), "left").drop("g").join(weights, F.expr(f"{context} = c"), "left").drop("c")
+            p = _per_fold(lambda i, k=k, p=p: F.coalesce(F.col(f"p{k}_{i}"), F.coalesce(F.col(f"w{k}_{i}"), F.lit(1.0)) * p[i]).alias(f"now{i}"))
+            out = out.select(*grams.columns, *p)
+            p = _per_fold(lambda i: F.col(f"now{i}"))
+        return out.select(*grams.columns, *_per_fold(lambda i: F.log(f"now{i}").cast("float").alias(f"logp{i}")))
 
 
 def with_perplexity(docs: DataFrame, model: KneserNey) -> DataFrame:
     """``(doc_id, lang, text_hash, n_grams, log_perplexity)`` for each row; null where a text is null or blank.
 
-    Texts move once, to their chunks; between chunks and model move only each
-    chunk's distinct n-grams.
+    Texts move once, to their chunks, and their n-grams are extracted once;
+    between chunks and model move only each chunk's distinct n-grams. Each text
+    is scored by the model that leaves out its fold.
     """
-    named = docs.select("doc_id", "lang", "text")
+    named = docs.select("doc_id", "lang", "text", _fold())
     size = named.agg(F.sum(F.char_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_CHARS))
     dealt = named.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
@@ -183,14 +228,16 @@ def with_perplexity(docs: DataFrame, model: KneserNey) -> DataFrame:
     def score(texts: pa.Table, grams: pa.Table) -> pa.Table:
         joined = "".join(grams.column("gram").to_pylist())
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        hashes, logp = _hashes(points)[::ORDER], grams.column("logp").to_numpy()
+        hashes = _hashes(points)[::ORDER]
+        logp = np.stack([grams.column(f"logp{i}").to_numpy() for i in range(FOLDS)], axis=1)
         order = np.argsort(hashes)
         hashes, logp = hashes[order], logp[order]
         parts = []
         for batch in texts.to_batches():
             for part in text_slices(batch, "text"):
                 points, place, owner = _grams(part.column("text").to_pylist())
-                own = logp[np.searchsorted(hashes, _hashes(points)[place])] if len(place) else np.zeros(0)
+                folds = part.column("fold").to_numpy()
+                own = logp[np.searchsorted(hashes, _hashes(points)[place]), folds[owner]] if len(place) else np.zeros(0)
                 n = np.bincount(owner, minlength=part.num_rows)
                 value = -np.bincount(owner, weights=own, minlength=part.num_rows) / np.maximum(n, 1)
                 parts.append(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(n), pa.array(value, mask=n == 0)], names=names))
@@ -199,7 +246,7 @@ def with_perplexity(docs: DataFrame, model: KneserNey) -> DataFrame:
     names = ["doc_id", "lang", "n_grams", "log_perplexity"]
     kind = named.schema["doc_id"].dataType.simpleString()
     pairs = dealt.mapInArrow(distinct, "chunk int, gram string")
-    scored = pairs.join(model.log_probability(pairs.select("gram").distinct()), "gram")
+    scored = model.log_probability(pairs)
     return dealt.groupBy("chunk").cogroup(scored.groupBy("chunk")).applyInArrow(score, f"doc_id {kind}, lang string, n_grams long, log_perplexity double")
 
 
@@ -209,24 +256,24 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = KEEP_QUANTILE)
     Trusted text is that of documents with a ``quality`` label of 1. A document
     stays if its perplexity is at most its language's threshold: the quantile of
     the trusted documents of the language, or of all trusted ones for a language
-    that has none (as for a null language). One in :data:`HELD_BACK` of them is
-    not learned from, and only these give quantiles, as text that the model has
-    learned is likelier than text of the same kind. Quantiles are exact to a step of
-    log-perplexity and the same at every run.
+    that has none (as for a null language). Text that a model has learned is
+    likelier than text of the same kind, so every text is scored by the model of
+    the trusted text outside its fold: all trusted documents are learned from, and
+    all give quantiles. Quantiles are exact to a step of log-perplexity and the
+    same at every run.
 
     A null or blank text has no perplexity and does not stay. Without trusted
     text nothing tells documents apart: perplexity is that of a uniform choice
     and all with a text stay. Ids that are labelled twice count once; repeated
     rows each have a result.
     """
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    apart = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(HELD_BACK)) == 0
-    learned = good.where(~apart)
-    likely = sifted(docs.select("doc_id", "text"), "doc_id", learned, "doc_id")
-    model = KneserNey.train(likely.join(learned, "doc_id", "left_semi"))
+    # Written, so that Spark knows its size: ids below its broadcast threshold leave the texts where they are.
+    good = saved(labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct(), "trusted")
+    likely = sifted(docs.select("doc_id", "text"), "doc_id", good, "doc_id")
+    model = KneserNey.train(likely.join(good, "doc_id", "left_semi"))
     scored = saved(with_perplexity(docs, model), "perplexity")
     step = F.ceil(F.col("log_perplexity") * STEPS).cast("long")
-    marked = scored.join(good.where(apart), "doc_id", "left_semi").where("log_perplexity IS NOT NULL")
+    marked = scored.join(good, "doc_id", "left_semi").where("log_perplexity IS NOT NULL")
     counts = marked.groupBy("lang", step.alias("step")).agg(F.count("*").alias("n"))
     counts = saved(counts, "steps")
     pooled = counts.groupBy("step").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(None).cast("string"))

@@ -1,10 +1,11 @@
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
-from lakeweir.llm.kneserney import BEFORE, ORDER, KneserNey, quality, with_perplexity
+from lakeweir.llm.kneserney import BEFORE, FOLDS, ORDER, KneserNey, quality, with_perplexity
 
 
 def plain(text):
@@ -16,6 +17,10 @@ def grams_of(text):
     return [p[i : i + ORDER] for i in range(len(p) - ORDER + 1)]
 
 
+def fold_of(text):
+    return zlib.crc32((text or "").encode()) % FOLDS
+
+
 class BruteForce:
     """The same model from dictionaries."""
 
@@ -61,16 +66,17 @@ def texts():
 
 def test_same_as_dictionaries(frame, texts, monkeypatch):
     monkeypatch.setattr("lakeweir.llm.kneserney.CHUNK_CHARS", 700)
-    trusted, asked = texts[:40], [*texts[40:], "ZZ!! unseen $$ 日本", None, "", " \n ", texts[0], texts[0]]
+    trusted, asked = texts[:40], [*texts, "ZZ!! unseen $$ 日本", None, "", " \n ", texts[0], texts[0]]
     model = KneserNey.train(frame(list(enumerate(trusted))))
-    brute = BruteForce(trusted)
+    assert len({fold_of(t) for t in trusted}) == FOLDS
+    brutes = [BruteForce([t for t in trusted if fold_of(t) != f]) for f in range(FOLDS)]
     rows = {r["doc_id"]: r for r in with_perplexity(frame(list(enumerate(asked))), model).collect()}
     assert len(rows) == len(asked)
     for i, text in enumerate(asked):
         grams = grams_of(text)
         assert rows[i]["n_grams"] == len(grams)
         if grams:
-            expected = -sum(math.log(brute.p(g)) for g in grams) / len(grams)
+            expected = -sum(math.log(brutes[fold_of(text)].p(g)) for g in grams) / len(grams)
             assert rows[i]["log_perplexity"] == pytest.approx(expected)
         else:
             assert rows[i]["log_perplexity"] is None
@@ -93,6 +99,22 @@ def test_junk_goes_and_clean_text_stays(spark, frame, texts):
     assert sum(rows[i]["keep"] for i in range(45, 60)) >= 12
 
 
+def test_copies_of_a_trusted_text_are_not_learned_for_it(frame, texts):
+    model = KneserNey.train(frame([(i, t) for i, t in enumerate([*texts, texts[0], texts[0]])]))
+    (one,) = with_perplexity(frame([(0, texts[0])]), model).collect()
+    brute = BruteForce([t for t in texts if fold_of(t) != fold_of(texts[0])])
+    grams = grams_of(texts[0])
+    assert one["log_perplexity"] == pytest.approx(-sum(math.log(brute.p(g)) for g in grams) / len(grams))
+
+
+def test_one_trusted_text_is_not_left_out(frame, texts):
+    model = KneserNey.train(frame([(0, texts[0])]))
+    brute = BruteForce([texts[0]])
+    for row, text in zip(sorted(with_perplexity(frame(list(enumerate(texts[:6]))), model).collect()), texts, strict=False):
+        grams = grams_of(text)
+        assert row["log_perplexity"] == pytest.approx(-sum(math.log(brute.p(g)) for g in grams) / len(grams))
+
+
 def test_nothing_trusted(spark, frame):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     (row,) = quality(frame([(1, "some text")]), labels).collect()
