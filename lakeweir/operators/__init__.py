@@ -17,10 +17,12 @@ from lakeweir.operators.merge import (
     upsert_soft,
 )
 from lakeweir.operators.names import strip_column_spaces
+from lakeweir.operators.sieve import SIEVE_BITS, may_match, split_by_keys
 
 __all__ = [
     "ACTIVE_FLAG",
     "MAX_STRING_LENGTH",
+    "SIEVE_BITS",
     "align_schema",
     "align_with_report",
     "append_rows",
@@ -32,6 +34,7 @@ __all__ = [
     "flatten",
     "hash_layout",
     "latest_per_key",
+    "may_match",
     "overlong_rows",
     "parse_json_column",
     "preview",
@@ -39,6 +42,7 @@ __all__ = [
     "remove_outdated",
     "remove_superseded",
     "replace_keys",
+    "split_by_keys",
     "string_bound_report",
     "strip_column_spaces",
     "upsert",

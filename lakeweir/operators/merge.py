@@ -21,6 +21,11 @@ Shape of the plans
   size (estimated, or measured at run time) is below
   ``spark.sql.autoBroadcastJoinThreshold``, and then the target is not
   shuffled at all.
+* ``sift=True`` sets apart, in the stage of the scan, the target rows whose key
+  no batch row has (see :mod:`lakeweir.operators.sieve`). They go straight to
+  the result; only the others are joined. For batches too large to broadcast
+  that touch a small part of the target: it is then scanned twice and most of
+  it is not shuffled.
 * ``colocated=True`` leaves the hash out where whole target rows are joined: a
   target bucketed by the keys is then not shuffled either. A bucket is read by
   one task, so this is for keys without hot values.
@@ -33,6 +38,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.functions.columns import column_list, fresh_name, quoted, require_columns
 from lakeweir.operators.dedupe import latest_per_key
+from lakeweir.operators.sieve import split_by_keys
 
 ACTIVE_FLAG = "ELT_ActiveFlag"  # fixed value: flag column of the history-keeping merge
 
@@ -143,9 +149,17 @@ def append_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def replace_keys(
-    target: DataFrame, batch: DataFrame, keys: str | list[str], colocated: bool = False
+    target: DataFrame,
+    batch: DataFrame,
+    keys: str | list[str],
+    colocated: bool = False,
+    sift: bool = False,
 ) -> DataFrame:
     """Batch rows, plus target rows whose key the batch does not mention."""
+    if sift:
+        keys, _ = _check(target, batch, keys, None)
+        near, far = split_by_keys(target, batch, keys)
+        return append_rows(far, replace_keys(near, batch, keys, colocated))
     return append_rows(remove_superseded(target, batch, keys, colocated=colocated), batch)
 
 
@@ -156,6 +170,7 @@ def upsert(
     recency: str | None = None,
     dedupe_batch: bool = False,
     colocated: bool = False,
+    sift: bool = False,
 ) -> DataFrame:
     """Newest-wins merge: delete superseded target rows, then insert the batch.
 
@@ -169,6 +184,9 @@ def upsert(
     ``dedupe_batch=True`` first keeps only the newest batch row of each key.
     """
     keys, recency = _check(target, batch, keys, recency)
+    if sift:
+        near, far = split_by_keys(target, batch, keys)
+        return append_rows(far, upsert(near, batch, keys, recency, dedupe_batch, colocated))
     if not recency:
         if dedupe_batch:
             raise ValueError("dedupe_batch needs a recency column")
@@ -257,6 +275,7 @@ def upsert_soft(
     recency: str | None = None,
     flag: str = ACTIVE_FLAG,
     colocated: bool = False,
+    sift: bool = False,
 ) -> DataFrame:
     """History-keeping merge: superseded rows stay, with ``flag`` set to 0.
 
@@ -268,6 +287,9 @@ def upsert_soft(
     """
     keys, recency = _check(target, batch, keys, recency)
     require_columns(target, [flag], "the target")
+    if sift:
+        near, far = split_by_keys(target, batch, keys)
+        return append_rows(far, upsert_soft(near, batch, keys, recency, flag, colocated))
     target_flag = _flag_name(target, flag)
     flag_type = target.schema[target_flag].dataType
     if flag.lower() not in {c.lower() for c in batch.columns}:

@@ -86,6 +86,7 @@ class BatchSpec:
     recency: str | None = None
     dedupe_batch: bool = False
     keys_fix_partition: bool = False
+    sift: bool = False
 
     curated_zone: str = "curated1"
     curated_container: str | None = None
@@ -284,9 +285,9 @@ def _merge(spark: SparkSession, spec: BatchSpec, batch: DataFrame, run: str) ->
     if in_place:
         target = touched_partitions(target, batch, parts)
     if spec.merge == "soft":
-        merged = upsert_soft(target, batch, spec.keys, blank_to_none(spec.recency))
+        merged = upsert_soft(target, batch, spec.keys, blank_to_none(spec.recency), sift=spec.sift)
     else:
-        merged = upsert(target, batch, spec.keys, blank_to_none(spec.recency))
+        merged = upsert(target, batch, spec.keys, blank_to_none(spec.recency), sift=spec.sift)
     if in_place:
         rows = replace_partitions(merged, spec.table)
         mark_batch(spark, spec.table, spec.batch_id)

@@ -8,13 +8,16 @@ from lakeweir.streaming.streams import (
     merged_increments,
     validated_append,
 )
+from lakeweir.streaming.variants import infer_json_schema, open_json
 
 __all__ = [
     "append_stream",
     "evolve_schema",
     "file_stream",
+    "infer_json_schema",
     "load_schema",
     "merge_schemas",
+    "open_json",
     "read_increments",
     "save_schema",
     "merged_increments",

@@ -326,7 +326,39 @@ SELECT c_name AS name, c_acctbal AS balance FROM customer
 UNION ALL SELECT s_name, s_acctbal FROM supplier"""
 
 
+# --- shipments: urgent orders settle their lines; other lines stay out of the merge
+
+
+def upsert_sifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_linenumber").cast("long").alias("line"),
+        F.col("l_shipdate").alias("moved"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    settled = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(
+        F.col("o_orderkey").alias("order_key"),
+        F.lit(0).cast("long").alias("line"),
+        F.expr("o_orderdate + make_dt_interval(60)").cast(lines.schema["moved"].dataType).alias("moved"),
+        F.lit(-1.0).cast(lines.schema["quantity"].dataType).alias("quantity"),
+    )
+    return lw.upsert(lines, settled, "order_key", "moved", sift=True)
+
+
+UPSERT_SIFTED = """
+WITH t AS (SELECT l_orderkey AS order_key, CAST(l_linenumber AS BIGINT) AS line, l_shipdate AS moved,
+                  l_quantity AS quantity FROM lineitem),
+s AS (SELECT o_orderkey AS order_key, CAST(0 AS BIGINT) AS line, o_orderdate + to_days(60) AS moved,
+             -1.0 AS quantity FROM orders WHERE o_orderpriority = '1-URGENT'),
+t1 AS (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s
+       WHERE s.order_key = t.order_key AND s.moved >= t.moved)),
+s1 AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t1
+       WHERE t1.order_key = s.order_key AND t1.moved > s.moved))
+SELECT * FROM t1 UNION ALL SELECT * FROM s1"""
+
+
 ENTRIES = {
+    "upsert_sifted": (upsert_sifted, UPSERT_SIFTED),
     "upsert_newest": (upsert_newest, UPSERT_NEWEST),
     "upsert_newest_dup_batch": (upsert_newest_dup_batch, UPSERT_NEWEST_DUP_BATCH),
     "upsert_shipments": (upsert_shipments, UPSERT_SHIPMENTS),

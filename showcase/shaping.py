@@ -138,6 +138,24 @@ SELECT event_id, ts, user_id, event_type, value,
        CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events"""
 
 
+def flatten_unknown_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties with a field that some rows lack and one of two types; nobody gives the schema."""
+    events = table(spark, sf_dir, "events")
+    more = F.when(
+        F.col("event_id") % 2 == 0,
+        F.format_string(', "at": {"user": %d}, "kind": "%s"}', "user_id", "event_type"),
+    ).otherwise(F.format_string(', "kind": %d}', "event_id"))
+    props = F.concat(F.expr("left(props, char_length(props) - 1)"), more).alias("props")
+    return lw.flatten(lw.open_json(events.select("event_id", props), "props"))
+
+
+FLATTEN_UNKNOWN_JSON = """
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN user_id END AS props_at_user,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
+       CASE WHEN event_id % 2 = 0 THEN event_type ELSE CAST(event_id AS VARCHAR) END AS props_kind,
+       CAST(NULL AS VARCHAR) AS props_rest FROM events"""
+
+
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structs in structs and an array of structs; some arrays are null."""
     documents = table(spark, sf_dir, "documents")
@@ -210,6 +228,7 @@ ENTRIES = {
     "align_accepts": (align_accepts, ALIGN_ACCEPTS),
     "align_rejects": (align_rejects, ALIGN_REJECTS),
     "flatten_json": (flatten_json, FLATTEN_JSON),
+    "flatten_unknown_json": (flatten_unknown_json, FLATTEN_UNKNOWN_JSON),
     "flatten_nested": (flatten_nested, FLATTEN_NESTED),
     "audit_columns": (audit_columns, AUDIT_COLUMNS),
     "string_bound_report": (string_bound_report, STRING_BOUND_REPORT),
