@@ -17,8 +17,9 @@ from lakeweir.llm.partenum import similar_components
 from lakeweir.llm.postings import contamination
 from lakeweir.llm.repair import token_files
 from lakeweir.llm.runs import with_planted_runs, with_runs
-from lakeweir.llm.spotsigs import edited_fingerprints
 from lakeweir.llm.shallot import clustered, integer_vectors
+from lakeweir.llm.spotjoin import similar_spots
+from lakeweir.llm.spotsigs import edited_fingerprints
 from lakeweir.llm.sql import CLUSTERS, DECONTAMINATION, NGRAM_JACCARD, RUNS
 from lakeweir.llm.surrogates import with_surrogates
 from lakeweir.llm.tokens import tokenizer_source
@@ -51,6 +52,10 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def spotsigs_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_spots(read_table(spark, sf_dir, "documents"))
+
+
 def op6_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     files = token_files(docs, shared_folder(spark), tokenizer_source(WORD_BPE), END_ID)
@@ -106,6 +111,7 @@ QUERIES = {
     "op3_ngram_jaccard": (op3_ngram_jaccard, NGRAM_JACCARD),
     "op4_length_histogram": (op4_length_histogram, None),
     "op5_spotsigs": (op5_spotsigs, None),
+    "spotsigs_join": (spotsigs_join, None),
     "op6_repair_tokens": (op6_repair_tokens, None),
     "op7_pivotal_mixing": (op7_pivotal_mixing, None),
     "op8_html_main_text": (op8_html_main_text, None),

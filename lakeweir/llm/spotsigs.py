@@ -2,9 +2,8 @@
 
 A signature is a common word (the anchor) with the next content words after it;
 a fingerprint is the set of a text's signatures. Text around the content, where
-anchors are rare, hardly counts. Sets can only be alike if their sizes are, so
-they are compared within partitions of set length, and there only where they
-share a signature that is rare enough.
+anchors are rare, hardly counts. Here a document is compared with an edit and
+with its next one; :mod:`lakeweir.llm.spotjoin` joins a whole corpus.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ ANCHORS = {
 CHAIN = 2
 #: Ids in one sorted run.
 RUN_IDS = 1000
+#: Borders between cells of neighbouring runs.
+MOST_CELLS = 1000
 
 
 def _anchor_words() -> str:
@@ -80,7 +81,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     Documents stand in descending order of id, null ids last, those of one id by
     a hash of their text; the next of the last is the first. Ids are dealt into
     runs of neighbouring ids, and the head of each run is also the guest at the
-    end of the run before. Texts move once.
+    end of the run before. Texts move once. Ids are of any type that sorts.
     """
     named = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = numbered(named.select("doc_id").distinct(), [F.col("doc_id").desc_nulls_last()], "place")
@@ -88,14 +89,19 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.max("doc_id").alias("high"), F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull()).alias("has_null")
     )
     runs = saved(runs, "runs")
-    span = runs.agg(F.min("low"), F.max("high"), F.count("*")).first()
-    n_runs = max(1, span[2])
-    width = 1 if span[0] is None else (span[1] - span[0]) // n_runs + 1
+    n_runs = max(1, runs.count())
+    # Every so many runs a border: as many cells at most, and as full, however the ids lie.
+    borders = runs.where(f"low IS NOT NULL AND run % {-(-n_runs // MOST_CELLS)} = 0").select("low").collect()
+    borders = F.array(*[F.lit(r["low"]) for r in borders]).cast(f"array<{docs.schema['doc_id'].dataType.simpleString()}>")
+
+    def cell(of: str) -> Column:
+        return F.when(F.col(of).isNotNull(), F.size(F.filter(borders, lambda b: b <= F.col(of))))
+
     # A run covers the cells from its lowest to its highest id; null ids have a cell of their own.
-    cells = F.when(F.col("low").isNull(), F.array().cast("array<long>")).otherwise(F.sequence(F.expr(f"floor(low / {width})"), F.expr(f"floor(high / {width})")))
-    null_cell = F.when(F.col("has_null"), F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>"))
+    cells = F.coalesce(F.sequence(cell("low"), cell("high")), F.array().cast("array<int>"))
+    null_cell = F.when(F.col("has_null"), F.array(F.lit(None).cast("int"))).otherwise(F.array().cast("array<int>"))
     runs = runs.select("run", "low", "high", F.explode(F.concat(cells, null_cell)).alias("cell"))
-    placed = named.withColumn("at", F.expr(f"floor(doc_id / {width})")).join(
+    placed = named.withColumn("at", cell("doc_id")).join(
         runs, F.col("at").eqNullSafe(F.col("cell")) & (F.col("doc_id").isNull() | F.col("doc_id").between(F.col("low"), F.col("high")))
     )
     is_head = F.coalesce(F.col("doc_id") == F.col("high"), F.col("high").isNull())

@@ -2,8 +2,10 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from lakeweir.llm.spotsigs import ANCHORS, edited_fingerprints
+from lakeweir.llm.common import saved
+from lakeweir.llm.spotsigs import ANCHORS, edited_fingerprints, with_next
 
 WORDS = {w for words in ANCHORS.values() for w in words.split()}
 
@@ -47,6 +49,33 @@ def test_each_with_the_next(frame, monkeypatch, run):
     check(frame([(i * i * 7 - 20, t) for i, t in enumerate(texts)]))
 
 
+@pytest.mark.parametrize("cells", [1, 2, 1000])
+def test_far_ids(frame, monkeypatch, cells):
+    monkeypatch.setattr("lakeweir.llm.spotsigs.RUN_IDS", 2)
+    monkeypatch.setattr("lakeweir.llm.spotsigs.MOST_CELLS", cells)
+    check(frame([(i, f"the text number{i} of the corpus part{i} " * (1 + i % 3)) for i in (-(10**17), *range(9), 10**17)]))
+
+
+def test_far_ids_share_no_cell(frame, monkeypatch):
+    monkeypatch.setattr("lakeweir.llm.spotsigs.RUN_IDS", 10)
+    monkeypatch.setattr("lakeweir.llm.spotsigs.saved", lambda df, name: kept.setdefault(name, saved(df, name)))
+    kept = {}
+    seated = with_next(frame([(i, "a text") for i in (*range(300), 10**17)]))
+    assert kept["runs"].count() == 31 and seated.where("NOT guest").count() == 301
+    assert max(r["n"] for r in seated.groupBy("run").agg(F.count("*").alias("n")).collect()) <= 11
+
+
+def test_ids_of_text(spark, monkeypatch):
+    monkeypatch.setattr("lakeweir.llm.spotsigs.RUN_IDS", 2)
+    texts = {"a": "the cat sat", "b": "the dog ran off", "c'x": "a house of the old man", "é": "one two", None: "no id"}
+    got = {r["doc_id"]: r for r in edited_fingerprints(spark.createDataFrame(list(texts.items()), "doc_id string, text string")).collect()}
+    order = ["é", "c'x", "b", "a", None]
+    for doc, after in zip(order, order[1:] + order[:1], strict=True):
+        text, half = texts[doc], len(texts[doc]) // 2
+        edited = text[: len(text) - half] + texts[after][:half]
+        assert got[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 def test_one_document_is_its_own_next(frame):
     (row,) = edited_fingerprints(frame([(5, "the cat sat on the mat today")])).collect()
     assert row["near_next"] == 1.0
