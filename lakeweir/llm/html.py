@@ -375,7 +375,7 @@ def _rearranged(page: Blocks, labels: list, rng: np.random.Generator, spare: lis
     main = [(t, p, s) for t, p, s, y in zip(page.texts, page.paths, page.linked, labels, strict=True) if y == 1]
     shell = pick([(), ("div", ".wrapper"), ("div", ".page", ".site"), ("div", "#app")])
     body = ("html", "body", *shell)
-    home = pick([("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post", ".entry"), ("section", ".story"), ("article", ".post"), ("div", ".article", ".body"), ("div",)])
+    home = pick([("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post", ".entry"), ("section", ".story"), ("article", ".post"), ("div", ".article", ".body"), ("div",), (), ("table", "tr", "td")])
     rows: list[tuple[str, tuple[str, ...], float, int]] = []
 
     def add(n, path, length, linked):
@@ -396,7 +396,7 @@ def _rearranged(page: Blocks, labels: list, rng: np.random.Generator, spare: lis
     if rng.random() < 0.6:
         add(1, pick([("header",), ("header", "div"), ("div", ".header"), ("header", "h1"), ("div", ".masthead")]), 5, 0.4)
     if rng.random() < 0.8:
-        add(int(rng.integers(2, 9)), pick([("nav", "ul", "li"), ("ul", ".menu", "li"), ("div", ".nav"), ("nav",), ("header", "nav", "ul", "li")]), 2, 1.0)
+        add(int(rng.integers(2, 9)), pick([("nav", "ul", "li"), ("ul", ".menu", "li"), ("div", ".nav"), ("nav",), ("header", "nav", "ul", "li"), ("table", "tr", "td")]), 2, 1.0)
     sides()
     for n, (text, path, linked) in enumerate(main):
         leaf = (next((x for x in reversed(path) if x[0] not in ".#" and x not in MAIN), "p"),)
@@ -411,11 +411,11 @@ def _rearranged(page: Blocks, labels: list, rng: np.random.Generator, spare: lis
             add(1, (*home, *pick([("div", ".ad"), ("aside",), ("div", ".share"), ("figure", ".promo"), ("div", ".newsletter")])), 12, 0.2)
     inside = home if rng.random() < 0.3 else ()
     if rng.random() < 0.5:
-        kind = pick([("section", ".comments"), ("div", ".comments"), ("div", ".comment", ".list"), ("section", "#comments", ".comments", "div", ".comment"), ("ol", ".comments", "li", ".comment")])
+        kind = pick([("section", ".comments"), ("div", ".comments"), ("div", ".comment", ".list"), ("section", "#comments", ".comments", "div", ".comment"), ("ol", ".comments", "li", ".comment"), ("section", ".respond"), ("div", ".responses")])
         add(int(rng.integers(1, 8)), (*inside, *kind, "p"), int(rng.integers(4, 90)), 0.0)
     sides()
     if rng.random() < 0.9:
-        add(int(rng.integers(1, 3)), pick([("footer",), ("footer", "p"), ("div", ".footer"), ("div", ".footer", "p")]), 12, 0.2)
+        add(int(rng.integers(1, 3)), pick([("footer",), ("footer", "p"), ("div", ".footer"), ("div", ".footer", "p"), ("div", ".foot", "p"), ("div", ".bottom")]), 12, 0.2)
     texts, paths, linked, labels = zip(*rows, strict=True) if rows else ((), (), (), ())
     return Blocks(list(texts), list(paths), list(linked)), np.array(labels)
 
@@ -445,28 +445,44 @@ def train(htmls: list[str], seed: int = 7) -> Labeller:
     return labeller
 
 
+def main_blocks(page: Blocks, scores: np.ndarray) -> np.ndarray:
+    """Which blocks are main text: those above 0, or, if there are none, all that nothing speaks against."""
+    chosen = scores > 0
+    if chosen.any():
+        return chosen
+    return np.array([weak_label(p) is not False and linked < 0.5 for p, linked in zip(page.paths, page.linked, strict=True)], bool)
+
+
+def _sample(named: DataFrame) -> list[str]:
+    """The different pages with the least hashes. Hashes are sorted out first: no other page leaves its task."""
+    hashed = named.where("html IS NOT NULL").select("html", F.xxhash64("html").alias("hash"))
+    least = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(FIT_PAGES).collect()]
+    some = hashed.where(F.col("hash").isin(least)).groupBy("hash").agg(F.min("html").alias("html"))
+    return [r["html"] for r in sorted(some.collect(), key=lambda r: r["hash"])]
+
+
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)``: the main text of each page.
 
     Blocks that the labeller takes for main text are joined in page order by one
-    space. A null or empty page has the empty text, as has one without such a
-    block. The labeller is fitted to at most :data:`FIT_PAGES` pages, those with
-    the least hash of their html; every page is read whole. Repeated rows each
+    space; on a page without such a block, those outside menus, forms and the
+    like that are no links. A null or empty page has the empty text, as has one
+    where nothing is left. The labeller is fitted to at most :data:`FIT_PAGES`
+    different pages, those with the least hash of their html; every page is read whole. Repeated rows each
     give one; other columns are not read.
     """
     named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    some = named.where("html IS NOT NULL").select("html").orderBy(F.xxhash64("html"), "html").limit(FIT_PAGES)
-    labeller = train([r["html"] for r in some.collect()])
+    labeller = train(_sample(named))
     shared = pages.sparkSession.sparkContext.broadcast(labeller)
 
     def work(batches):
         for batch in batches:
             for part in text_slices(batch, "html"):
                 cut = [blocks_of(h or "") for h in part.column("html").to_pylist()]
-                main = shared.value.score(Features(cut)) > 0
+                main = shared.value.score(Features(cut))
                 texts, at = [], 0
                 for page in cut:
-                    chosen = main[at : at + len(page.texts)]
+                    chosen = main_blocks(page, main[at : at + len(page.texts)])
                     at += len(page.texts)
                     texts.append(" ".join(t for t, ok in zip(page.texts, chosen, strict=True) if ok))
                 yield pa.RecordBatch.from_arrays(

@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from lakeweir.llm.html import STATE, Blocks, Features, Labeller, Lstm, blocks_of, main_texts, train, weak_label
+from lakeweir.llm.html import STATE, Blocks, Features, Labeller, Lstm, blocks_of, main_blocks, main_texts, train, weak_label
+from tests.llm.layouts import LAYOUTS
 
 PARAGRAPHS = ["The quick brown fox jumps over the lazy dog and goes home.", "It rained for days &amp; the river rose &#x2014; slowly.", "Nobody had seen anything   like\nit before."]
 
@@ -96,3 +97,37 @@ def test_query(spark):
 ])
 def test_hidden_elements_end(html, texts):
     assert blocks_of(html).texts == texts
+
+
+def measured(labeller):
+    """Precision and recall of blocks over the layouts, and the layouts that come out right."""
+    kept = right = wanted = 0
+    whole = []
+    for name, (html, main) in LAYOUTS.items():
+        blocks = blocks_of(html)
+        said = [t for t, ok in zip(blocks.texts, main_blocks(blocks, labeller.score(Features([blocks]))), strict=True) if ok]
+        kept, wanted = kept + len(said), wanted + len(main)
+        right += sum(t in main for t in said)
+        whole += [name] if said == main else []
+    return right / kept, right / wanted, whole
+
+
+def test_unlike_layouts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").where("html IS NOT NULL").orderBy("page_id").limit(240)
+    precision, recall, whole = measured(train([r["html"] for r in pages.collect()]))
+    assert precision >= 0.9 and recall >= 0.9, (precision, recall, set(LAYOUTS) - set(whole))
+
+
+def test_a_bare_page_is_not_empty():
+    page = blocks_of("<body><nav><a href=a>Home</a></nav><p>one</p><p>two <a href=b>b</a></p><p><a href=c>three</a></p></body>")
+    assert main_blocks(page, np.full(4, -1.0)).tolist() == [False, True, True, False]
+    assert main_blocks(page, np.array([-1.0, 1, -1, -1])).tolist() == [False, True, False, False]
+
+
+def test_few_different_pages_are_learned_of_many_copies(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr("lakeweir.llm.html.FIT_PAGES", 5)
+    monkeypatch.setattr("lakeweir.llm.html.train", lambda htmls: learned.extend(htmls) or train(htmls))
+    rows = [(i, "u", page(i % 8 if i % 2 else 3, 0)) for i in range(200)]
+    assert main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).count() == 200
+    assert len(learned) == len(set(learned)) == 5
