@@ -126,8 +126,8 @@ def test_a_bare_page_is_not_empty():
 
 def test_few_different_pages_are_learned_of_many_copies(spark, monkeypatch):
     learned = []
-    monkeypatch.setattr("lakeweir.llm.html.FIT_PAGES", 5)
+    monkeypatch.setattr("lakeweir.llm.html.FIT_PAGES", 3)
     monkeypatch.setattr("lakeweir.llm.html.train", lambda htmls: learned.extend(htmls) or train(htmls))
     rows = [(i, "u", page(i % 8 if i % 2 else 3, 0)) for i in range(200)]
     assert main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).count() == 200
-    assert len(learned) == len(set(learned)) == 5
+    assert len(learned) == len(set(learned)) == 3
