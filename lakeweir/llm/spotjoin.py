@@ -4,8 +4,8 @@ Sets can only be alike if their sizes are, so they are dealt into partitions of
 set length, as wide as the wanted likeness allows: a set meets those of its own
 partition and of the next one. There it is posted under its rarest signatures,
 as many as two sets that are alike cannot all miss. Members of a posting are
-first held against one of them; what that does not already join is compared in
-blocks of bounded size.
+first held against single ones of them, in rounds; what that does not already
+join is compared in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from lakeweir.llm.spotsigs import with_signatures
 
 #: Members of a posting that one block holds.
 BLOCK_MEMBERS = 1000
+#: Rounds in which one member of each posting is held against the others, at most.
+MOST_ROUNDS = 12
 #: Longest set that the partitions cover.
 MOST_SIGNATURES = 1 << 31
 
@@ -78,35 +80,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").where(f"100L * {common} >= {percent}L * (size(a) + size(b) - {common})").select("u", "v")
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """``(k, sign, members, pairs)``: the postings whose members are not all joined, with the pairs that are left in them."""
+    parts = members.groupBy("k", "sign", "root").agg(F.count("*").alias("c"), F.count(F.when(~F.col("guest"), 1)).alias("own"))
+    parts = parts.groupBy("k", "sign").agg(F.sum("c").alias("members"), F.sum("own").alias("own"), F.sum(F.expr("c * c")).alias("joined"), F.count("*").alias("parts"))
+    parts = parts.where("parts > 1 AND own > 0")
+    return saved(parts.select("k", "sign", "members", F.expr("(members * members - joined) div 2").alias("pairs")), "spot-open")
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links between unlike sets, enough to join all that any link joins."""
-    members = saved(postings(sets, percent), "spot-postings")
+    """Verified links between unlike sets, enough to join all that any link joins.
+
+    In each round one member of a posting, drawn by hash, is held against those
+    that no link joins to it, and leaves the posting. Rounds end when few pairs
+    are open, or after :data:`MOST_ROUNDS`; what is open then meets in blocks.
+    """
     bucket = ["k", "sign"]
-    heads = members.groupBy(bucket).agg(F.count("*").alias("members"), F.min(F.when(~F.col("guest"), F.struct("set_key", "n", "pos"))).alias("head"))
-    heads = saved(heads.where("members > 1 AND head IS NOT NULL"), "spot-heads")
-
-    first = members.join(heads, bucket).where("set_key <> head.set_key")
-    first = first.where(_alike_sizes("n", "head.n", percent) & _may_be_first("n", "pos", "head.n", "head.pos", percent))
-    first = first.select(F.least("set_key", "head.set_key").alias("u"), F.greatest("set_key", "head.set_key").alias("v"))
-    joined = saved(verified(saved(first.distinct(), "spot-pairs"), sets, percent), "spot-links")
-
-    # What the heads joined needs no comparison; what is open is compared without the heads.
-    roots = saved(components(joined, "u", "v"), "spot-roots")
-    of = members.join(roots, F.col("set_key") == F.col("id"), "left").select(*members.columns, F.coalesce("root", "set_key").alias("root"))
-    of = saved(of, "spot-members")
-    rest = of.join(heads.select(*bucket, F.col("head.set_key").alias("head")), bucket).where("set_key <> head").drop("head")
-    mixed = rest.groupBy(bucket).agg(F.count("*").alias("members"), F.min("root").alias("least"), F.max("root").alias("most"))
-    mixed = saved(mixed.where("least <> most").select(*bucket, "members"), "spot-open")
-    dealt = in_block_pairs(
-        of.join(mixed, bucket).join(heads.select(*bucket, F.col("head.set_key").alias("head")), bucket).where("set_key <> head"),
-        "set_key",
-        F.ceil(F.col("members") / BLOCK_MEMBERS),
-    )
+    members = saved(postings(sets, percent).withColumn("root", F.col("set_key")), "spot-postings")
+    left_open = _open(members)
+    n_members = members.count()
+    joined = None
+    for turn in range(MOST_ROUNDS):
+        if turn and (left_open.agg(F.sum("pairs")).first()[0] or 0) <= n_members:
+            break
+        members = members.join(left_open.select(*bucket), bucket)
+        drawn = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("draw"), "set_key", "n", "pos", "root")
+        heads = saved(members.where("NOT guest").groupBy(bucket).agg(F.min(drawn).alias("head")), "spot-heads")
+        members = saved(members.join(heads, bucket).where("set_key <> head.set_key"), "spot-members")
+        pairs = members.where("root <> head.root").where(
+            _alike_sizes("n", "head.n", percent) & _may_be_first("n", "pos", "head.n", "head.pos", percent)
+        )
+        pairs = pairs.select(F.least("set_key", "head.set_key").alias("u"), F.greatest("set_key", "head.set_key").alias("v"))
+        found = verified(saved(pairs.distinct(), "spot-pairs"), sets, percent)
+        joined = saved(found if joined is None else joined.unionByName(found), "spot-links")
+        roots = saved(components(joined, "u", "v").withColumnRenamed("root", "now"), "spot-roots")
+        members = members.drop("head", "root").join(roots, F.col("set_key") == F.col("id"), "left")
+        members = saved(members.withColumn("root", F.coalesce("now", "set_key")).drop("id", "now"), "spot-members")
+        left_open = _open(members)
+
+    dealt = in_block_pairs(members.join(left_open, bucket), "set_key", F.ceil(F.col("members") / BLOCK_MEMBERS))
     keys = [*bucket, "lo", "hi"]
-    dealt = dealt.select(*keys, "block", "guest", "set_key", "n", "pos", "root")
-    left = dealt.where("NOT guest")
-    right = dealt.select(*keys, *[F.col(c).alias(f"{c}_b") for c in ("block", "guest", "set_key", "n", "pos", "root")])
-    second = left.join(right, keys).where("root <> root_b AND (lo = hi OR block <> block_b) AND (guest_b OR set_key < set_key_b)")
+    columns = ["block", "guest", "set_key", "n", "pos", "root"]
+    dealt = dealt.select(*keys, *columns)
+    right = dealt.select(*keys, *[F.col(c).alias(f"{c}_b") for c in columns])
+    second = dealt.where("NOT guest").join(right, keys).where("root <> root_b AND (lo = hi OR block <> block_b) AND (guest_b OR set_key < set_key_b)")
     second = second.where(_alike_sizes("n", "n_b", percent) & _may_be_first("n", "pos", "n_b", "pos_b", percent))
     second = second.select(F.least("set_key", "set_key_b").alias("u"), F.greatest("set_key", "set_key_b").alias("v"))
     return joined.unionByName(verified(saved(second.distinct(), "spot-pairs"), sets, percent))

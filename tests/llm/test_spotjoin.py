@@ -46,9 +46,10 @@ def corpus(seed):
     return list(enumerate(texts, 1))
 
 
-@pytest.mark.parametrize(("seed", "percent", "block"), [(1, 80, 1000), (2, 80, 3), (3, 60, 4), (4, 90, 3)])
-def test_as_brute_force(frame, monkeypatch, seed, percent, block):
+@pytest.mark.parametrize(("seed", "percent", "block", "rounds"), [(2, 80, 3, 1), (3, 60, 4, 3), (1, 80, 1000, 1), (4, 90, 3, 1)])
+def test_as_brute_force(frame, monkeypatch, seed, percent, block, rounds):
     monkeypatch.setattr("lakeweir.llm.spotjoin.BLOCK_MEMBERS", block)
+    monkeypatch.setattr("lakeweir.llm.spotjoin.MOST_ROUNDS", rounds)
     rows = corpus(seed)
     random.Random(seed).shuffle(rows)
     got = sorted(tuple(r) for r in similar_spots(frame(rows), percent=percent).collect())
