@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.common import in_block_pairs, saved
+from lakeweir.llm.common import in_block_pairs, saved, sifted_by_join
 from lakeweir.llm.graph import components
 from lakeweir.llm.spotsigs import with_signatures
 
@@ -73,7 +73,12 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` of set keys whose Jaccard similarity is at least ``percent`` in a hundred."""
+    """The pairs ``(u, v)`` of set keys whose Jaccard similarity is at least ``percent`` in a hundred.
+
+    Pairs are read three times. Of the sets, those move that are in a pair, and few others.
+    """
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("end"))
+    sets = sifted_by_join(sets, "set_key", ends, "end")
     a = sets.select(F.col("set_key").alias("u"), F.col("signs").alias("a"))
     b = sets.select(F.col("set_key").alias("v"), F.col("signs").alias("b"))
     common = "size(array_intersect(a, b))"

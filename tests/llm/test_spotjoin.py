@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lakeweir.llm.spotjoin import length_borders, similar_spots
+from lakeweir.llm.spotjoin import length_borders, similar_spots, verified
 from tests.llm.test_spotsigs import likeness, signs
 
 
@@ -90,6 +90,32 @@ def test_no_python_in_the_plan(frame):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of a frame's plan write when it is collected."""
+    df.collect()
+    nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            nodes.append(node.plan())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_only_sets_of_pairs_move(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sets = spark.createDataFrame([(i, list(range(10 * (i // 2), 10 * (i // 2) + 9 + i % 2))) for i in range(4000)], "set_key long, signs array<long>")
+    pairs = spark.createDataFrame([(0, 1), (1, 2), (3998, 3999), (5, 9999)], "u long, v long")
+    found = verified(pairs, sets, 80)
+    assert sorted(map(tuple, found.collect())) == [(0, 1), (3998, 3999)]
+    assert shuffled_rows(found) < 100
+
+
 def test_no_rows_and_limits(frame):
     assert similar_spots(frame([])).collect() == []
     with pytest.raises(ValueError, match="percent"):
