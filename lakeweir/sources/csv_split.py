@@ -7,16 +7,18 @@ afterwards:
 
 1. Every line maps the state it begins in (outside or inside quotes) to the
    state it ends in. Most keep it; an odd number of quotes swaps it; some end in
-   one state whatever they began in. A split's lines compose to a map of its own.
-2. A prefix over the splits of a file, a row each, composes these maps: the
-   state at the beginning of every split, the records that begin in it, and the
-   split in which a record that reaches over the border has begun.
-3. Inside a split, a record is a line that begins outside and those after it
-   that begin inside. Pieces at borders, two a split at most, are joined to the
+   one state whatever they began in. The lines of a block, a bounded number of
+   neighbouring lines of one split, compose to a map of its own.
+2. A prefix over the blocks of a file, a row each, composes these maps: the
+   state at the beginning of every block, the records that begin in it, and the
+   block in which a record that reaches over the border has begun.
+3. Inside a block, a record is a line that begins outside and those after it
+   that begin inside. Pieces at borders, two a block at most, are joined to the
    record they belong to.
 
-Lines are shuffled once, by split; the first two steps read them another time
-and move only what a line does to the state. Records are then parsed by Spark.
+Lines are shuffled once, by block, to twice as many tasks as scan them; the first two
+steps read them another time and move only what a line does to the state.
+Windows hold a block at a time. Records are then parsed by Spark.
 All of it is built-in expressions.
 """
 
@@ -37,6 +39,9 @@ QUOTE, ESCAPE, SEP = '"', "\\", ","  # fixed values: Spark's defaults
 #: Options under which records are not what quotes and line feeds make of them.
 WHOLE_FILE_OPTIONS = ("comment", "linesep", "encoding", "charset", "mode")
 
+#: Lines of a split that one block holds at most.
+BLOCK_LINES = 1 << 13
+
 #: Options that choose among files.
 LISTING_OPTIONS = ("pathglobfilter", "modifiedbefore", "modifiedafter")
 
@@ -114,10 +119,10 @@ def _composed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def _split_states(lines: DataFrame) -> DataFrame:
-    """A row for each split of a file: the state it begins in, and its records.
+    """A row for each block of a file: the state it begins in, and its records.
 
     ``entry`` and ``next_entry`` tell whether it and the next one begin inside quotes,
-    ``starts`` counts the records that begin in it, and ``owner`` names the split and
+    ``starts`` counts the records that begin in it, and ``owner`` names the block and
     the number of the last record that began before it. ``crlf`` tells whether the
     first line of the file ends with a carriage return, as all records then do.
     """
@@ -136,7 +141,7 @@ def _split_states(lines: DataFrame) -> DataFrame:
         F.count_if(~F.col("blank") & ~F.col("fixed") & F.col("odd")).alias("if_inside"),
     )
     splits = splits.withColumns({"outside": F.col("ends.outside"), "inside": F.col("ends.inside")})
-    # A file begins outside quotes, so what the splits before make of that is the state.
+    # A file begins outside quotes, so what the blocks before make of that is the state.
     splits = _composed(splits, ["file"], "block").withColumn("entry", F.col("odd"))
     starts = F.col("always") + F.when(F.col("entry"), F.col("if_inside")).otherwise(
         F.col("if_outside")
@@ -183,10 +188,15 @@ def multiline_records(
     listing = {k: v for k, v in (options or {}).items() if k.lower() in LISTING_OPTIONS}
     lines = reader.options(**listing).text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"),
         "value",
     )
+    n_scans = max(1, lines.rdd.getNumPartitions())
+    # Both passes scan alike, so a line has the same number in its task, and the same block.
+    in_task = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.struct("split", F.floor(in_task / BLOCK_LINES).alias("part"))
+    lines = lines.select("file", block.alias("block"), "at", "value")
     outside, inside = _state_map(F.col("value"), quote, escape, sep, trims)
     lines = lines.withColumns(
         {
@@ -198,20 +208,21 @@ def multiline_records(
     )
     splits = _split_states(lines)
 
+    lines = lines.repartition(2 * n_scans, "file", "block")
     lines = _composed(lines, ["file", "block"], "at").join(splits, ["file", "block"])
     within = F.when(F.col("fixed"), F.col("odd")).otherwise(F.col("odd") != F.col("entry"))
     # An empty line between records is none; one inside quotes is part of the value.
     lines = lines.withColumn("starts_record", ~within).where("NOT (starts_record AND blank)")
-    in_split = Window.partitionBy("file", "block").orderBy("at")
+    in_block = Window.partitionBy("file", "block").orderBy("at")
     lines = lines.withColumns(
         {
             "record": F.sum(F.col("starts_record").cast("long")).over(
-                in_split.rowsBetween(Window.unboundedPreceding, 0)
+                in_block.rowsBetween(Window.unboundedPreceding, 0)
             ),
-            "ends_record": F.coalesce(F.lead("starts_record").over(in_split), ~F.col("next_entry")),
+            "ends_record": F.coalesce(F.lead("starts_record").over(in_block), ~F.col("next_entry")),
         }
     )
-    # The first record of a file is the first of a split that no record has begun before.
+    # The first record of a file is the first of a block that no record has begun before.
     lines = lines.withColumn("first", F.col("owner").isNull() & (F.col("record") == 1))
     whole = lines.where("starts_record AND ends_record").select(
         "file", "block", "record", "first", "crlf", F.col("value").alias("text")
@@ -227,7 +238,7 @@ def multiline_records(
         F.first("first").alias("first"),
         (F.first("next_entry") & (F.first("starts") == F.col("record"))).alias("goes_on"),
     )
-    # The first piece of a record that goes on, and pieces that go on from an earlier split.
+    # The first piece of a record that goes on, and pieces that go on from an earlier block.
     border = parts.where("goes_on OR record = 0")
     inner = parts.where("NOT (goes_on OR record = 0)").select(*whole.columns)
     own = F.struct(F.col("block").alias("block"), F.col("record").alias("record"))

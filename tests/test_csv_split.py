@@ -74,6 +74,23 @@ def test_a_record_over_many_splits_and_quotes_at_their_borders(spark, tmp_path,
     assert ours.count() == 40
 
 
+@pytest.mark.parametrize("lines", [1, 3, 50])
+def test_blocks_of_few_lines(spark, tmp_path, monkeypatch, lines):
+    monkeypatch.setattr("lakeweir.sources.csv_split.BLOCK_LINES", lines)
+    path = write(tmp_path, random_file(lines, '"', "\n"))
+    ours = lw.read_multiline_csv(spark, path, schema="id int, b string, c string", options={"escape": '"'})
+    assert rows(ours) == rows(whole(spark, path, schema="id int, b string, c string", escape='"'))
+
+
+def test_lines_move_to_more_tasks_the_more_scan_them(spark, tmp_path, small_splits, conf):
+    conf("spark.sql.shuffle.partitions", "2")
+    path = write(tmp_path, random_file(7, '"', "\n"))
+    n = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+    assert n > 10
+    plan = lw.read_multiline_csv(spark, path, schema="id int, b string, c string", options={"escape": '"'})
+    assert f", {2 * n}), REPARTITION_BY_NUM" in plan._jdf.queryExecution().toString()
+
+
 def test_several_files_separators_and_leading_space(spark, tmp_path, small_splits):
     for i in range(3):
         write(tmp_path, random_file(i, "\\", "\n", ";").replace(';"', '; "'), f"{i}.csv")
